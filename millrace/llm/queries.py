@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import substring_dedup
+
+    found = substring_dedup(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
 
@@ -56,7 +63,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources}
+    return {"op1_substring_dedup": op1_substring_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (makes pa.compute available)
 
 U = np.uint64
 _BASE, _MASK = 0x9E3779B97F4A7C13, (1 << 64) - 1
