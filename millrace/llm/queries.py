@@ -17,6 +17,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_groups
+
+    _, found = near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
 
@@ -63,7 +70,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources}
+    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources}
 
 
 def oracle_sql() -> dict[str, str]:
