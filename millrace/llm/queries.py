@@ -30,6 +30,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), size=2048).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept,
@@ -70,7 +78,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources}
+    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
