@@ -24,6 +24,12 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_groups
 
@@ -78,7 +84,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
+    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
