@@ -17,6 +17,53 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+
+    labels = table(spark, sf_dir, "labels").where("quality is not null and toxic is not null")
+    outcomes = labels.select(F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0).alias("bad"))
+    return filter_urls(table(spark, sf_dir, "pages"), outcomes)
+
+
+_STRENGTH = """SELECT CASE WHEN sum(n * pow(bad / n - prior, 2)) > sum(prior * (1 - prior))
+    THEN least(10000.0, greatest(1.0, (sum(n * prior * (1 - prior)) - sum(prior * (1 - prior))) / (sum(n * pow(bad / n - prior, 2)) - sum(prior * (1 - prior))) - 1))
+    ELSE 10000.0 END FROM"""
+
+OP2_SQL = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, coalesce(rest, '') AS rest FROM cut)
+), ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/es/') THEN 'org/es/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/de/') THEN 'net/de/'
+      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/en/') THEN 'com/en/' END AS rule
+  FROM parts
+), hosts AS (
+  SELECT host, count(*)::DOUBLE AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS bad,
+         array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM parts JOIN labels ON labels.doc_id = parts.page_id
+  WHERE quality IS NOT NULL AND toxic IS NOT NULL AND host <> '' GROUP BY host
+), d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT sum(bad) / sum(n) FROM hosts) AS prior FROM d0 GROUP BY suffix),
+s1 AS (SELECT suffix, (bad + k * prior) / (n + k) AS mean FROM s0, ({_STRENGTH} s0) AS t(k)),
+d1 AS (SELECT d0.*, mean AS prior FROM d0 JOIN s1 USING (suffix)),
+d2 AS (SELECT domain, suffix, (bad + k * prior) / (n + k) AS mean FROM d1, ({_STRENGTH} d1) AS t(k)),
+h1 AS (SELECT hosts.*, mean AS prior FROM hosts JOIN d2 USING (domain, suffix)),
+h2 AS (SELECT host, n, k, (bad + k * prior) / (n + k) AS mean FROM h1, ({_STRENGTH} h1) AS t(k)),
+blocked AS (SELECT host FROM h2 WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0.5)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/en/', 'example.net/de/8', 'org/es/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_groups
 
@@ -84,8 +131,8 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}
+    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}
