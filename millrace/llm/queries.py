@@ -77,6 +77,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), labels)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify
+    from .quality import held_out
+
+    found = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_groups
 
@@ -144,7 +152,7 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op5_language": op5_language, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
