@@ -15,7 +15,8 @@ Stages, all over the whole table:
    pivots; afterwards every member outside its largest group is compared with all other members, in blocks.
 4. The confirmed forests' connected components are the groups.
 
-Only stage 2 is probabilistic: with 40 bands of 7 a pair at similarity 0.85 shares no band with probability 2e-7.
+Only stage 2 is probabilistic: with 40 bands of 7 a pair at similarity 0.85 shares no band with probability 2e-7;
+with 48 bands of 6, a pair at 0.8 with probability 5e-7.
 
 Nulls and texts without words: an empty set, linked with nothing, a group of its own. A null id is never the
 least id; a group without ids has a null component_id. Repeated rows are copies. Empty tables give empty results.
@@ -35,7 +36,8 @@ from . import vec
 from .common import Scratch, concurrency, slices
 from .graph import components
 
-BANDS, BAND_ROWS = 40, 7
+#: Bands and rows of a band, by the least similarity (in percent) that they are meant for.
+BANDS = {85: (40, 7), 0: (48, 6)}
 #: Shingles of a neighbourhood that one task confirms at once; larger ones are dealt over blocks.
 BLOCK = 1 << 21
 #: Pivots that the blocks of a large neighbourhood share.
@@ -78,10 +80,11 @@ def sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
     return out.reshape(-1, bins)
 
 
-def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    full = sketch(sets, BANDS * BAND_ROWS).reshape(len(sets), BANDS, BAND_ROWS)
-    key = np.tile(vec.mix(np.arange(BANDS, dtype=U), 77), (len(sets), 1))
-    for j in range(BAND_ROWS):
+def band_keys(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    bands, rows = next(BANDS[p] for p in sorted(BANDS, reverse=True) if percent >= p)
+    full = sketch(sets, bands * rows).reshape(len(sets), bands, rows)
+    key = np.tile(vec.mix(np.arange(bands, dtype=U), 77), (len(sets), 1))
+    for j in range(rows):
         key = vec.mix(key ^ full[:, :, j], 80 + j)
     return key
 
@@ -94,7 +97,7 @@ def _mark(size: int, percent: int):
             # A set of n shingles cannot reach the threshold with a different set unless n / (n + 1) does.
             able = np.flatnonzero(100 * n >= percent * (n + 1))
             keys = np.empty(len(sets), object)
-            for k, row in zip(able, band_keys([sets[k] for k in able]).view(np.int64), strict=True):
+            for k, row in zip(able, band_keys([sets[k] for k in able], percent).view(np.int64), strict=True):
                 keys[k] = row
             sums = [np.array([vec.mix(s, salt).sum(dtype=U) for s in sets], U).view(np.int64) for salt in (21, 22)]
             yield pa.RecordBatch.from_arrays(
