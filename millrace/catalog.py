@@ -1,4 +1,4 @@
-"""All registered queries of the library and their SQL."""
+"""All registered queries of the library and their SQL, on the driver's tables as stand-ins."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import curation, evaluation, geometry, identifiers, sampling, statistics, tables, textual
+
+_MODULES = (identifiers, geometry, curation, sampling, statistics, tables, evaluation, textual)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: run for m in _MODULES for name, (run, _) in m.REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in _MODULES for name, (_, sql) in m.REGISTRY.items() if sql}
