@@ -6,8 +6,8 @@ a new name is a hash of what it replaces, so the naming is global - equal substr
 every document and partition - without a dictionary to shuffle.
 
 Each symbol carries the range of words that its existence depends on (its own words plus the neighbours that
-the rounds looked at). For every window of `window` words the anchor is the first symbol, at the highest level
-possible, whose range lies within the window; words themselves are level 0, so every window has an anchor, and
+the rounds looked at). For every window of `window` words the anchor is the least name of such a range lying
+within the window, at the highest level that has any; words themselves are level 0, so every window has an anchor, and
 equal windows have equal anchors. Only windows whose anchor occurs elsewhere can repeat: these are verified by the
 name of their whole word sequence (with the anchor's, 128 bits of independent names), again over the whole corpus.
 
@@ -32,11 +32,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from . import vec
 from .common import Scratch, slices
 
-ROUNDS = 8
+ROUNDS = 4
 #: Rounds that also name runs; a run needs both neighbours to be known, so these cost range.
-RUN_ROUNDS = (0, 4)
+RUN_ROUNDS = (0,)
 #: Bytes of text in a chunk, and names in a bucket.
-CHUNK, BUCKET = 1 << 21, 1 << 20
+CHUNK, BUCKET = 1 << 19, 1 << 20
 U = np.uint64
 
 
@@ -73,6 +73,20 @@ def _name_pairs(sym: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int) -> t
     return out[keep], new_lo[keep], new_hi[keep]
 
 
+def _least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The place of the (first) minimum of values[first:last] for every pair, by doubling."""
+    out, reach, best = first.copy(), 1, np.arange(len(values))
+    span = last - first
+    while reach <= span.max(initial=0):
+        here = (span >= reach) & (span < 2 * reach)
+        x, y = best[first[here]], best[last[here] - reach]
+        out[here] = np.where(values[x] <= values[y], x, y)
+        x, y = best[: len(best) - reach], best[reach:]
+        best = np.where(values[x] <= values[y], x, y)
+        reach *= 2
+    return out
+
+
 class Windows:
     """The windows of a batch of texts, with their anchors."""
 
@@ -90,9 +104,10 @@ class Windows:
         self.first = vec.ragged(self.before[:-1], room)  # the word that each window starts with
         at = self.first + np.repeat(np.arange(len(counts)), room) + 1
         self.names, self.window = names, window
-        self.anchors = self._anchors(tokens, at)
+        self.anchors, self.occurrences = self._anchors(tokens, at)
 
-    def _anchors(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _anchors(self, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The name of each window's anchor, and which occurrence of that name it is."""
         place = np.arange(len(tokens), dtype=np.int32)
         levels = [(tokens, place, place + 1)]
         if len(at):
@@ -101,14 +116,22 @@ class Windows:
                 if r in RUN_ROUNDS:
                     level = _name_runs(*level, salt=3 * r + 1)
                 levels.append(_name_pairs(*level, salt=3 * r + 2))
-        anchors, open_ = np.zeros(len(at), U), np.arange(len(at))
+        anchors, occurrences, open_ = np.zeros(len(at), U), np.zeros(len(at), np.int64), np.arange(len(at))
         for r in range(len(levels) - 1, -1, -1):
             sym, lo, hi = levels[r]
-            i = np.minimum(np.searchsorted(lo, at[open_]), len(sym) - 1)
-            fits = (hi[i] <= at[open_] + self.window) & (lo[i] >= at[open_])
-            anchors[open_[fits]] = vec.mix(sym[i[fits]], 100 + r)
+            first = np.searchsorted(lo, at[open_])
+            last = np.searchsorted(hi, at[open_] + self.window, side="right")
+            fits = first < last
+            names = vec.span_names(tokens, lo, hi, 100 + r)
+            i = _least(names, first[fits], last[fits])
+            anchors[open_[fits]], occurrences[open_[fits]] = names[i], (np.int64(r) << 40) | i
             open_ = open_[~fits]
-        return anchors
+        return anchors, occurrences
+
+    def marks(self) -> np.ndarray:
+        """An anchor name for each occurrence."""
+        _, one = np.unique(self.occurrences, return_index=True)
+        return self.anchors[one]
 
     def sequences(self, which: np.ndarray) -> np.ndarray:
         """Names of the whole word sequences of the windows, with their anchors."""
@@ -127,11 +150,11 @@ def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _NAMES = "chunk long, names binary, again binary"
 
 
-def _names_batch(chunk: int, names: np.ndarray, payload: bytes | None = None) -> pa.RecordBatch:
+def _names_batch(chunk: int, names: np.ndarray, payload: tuple[bytes, int] | None = None) -> pa.RecordBatch:
     found, again, _ = distinct(names)
     cols = {"chunk": pa.array([chunk], pa.int64())}
     if payload is not None:
-        cols |= {"payload": pa.array([payload], pa.binary()), "n_windows": pa.array([len(names)], pa.int64())}
+        cols |= {"payload": pa.array(payload[:1], pa.binary()), "n_windows": pa.array(payload[1:], pa.int64())}
     return pa.RecordBatch.from_pydict(cols | {"names": pa.array([found.tobytes()], pa.binary()), "again": pa.array([np.packbits(again).tobytes()], pa.binary())})
 
 
@@ -144,7 +167,8 @@ def _mark_anchors(window: int):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.columns], schema=batch.schema))
-            yield _names_batch(chunk, Windows(batch.column(1), window).anchors, sink.getvalue().to_pybytes())
+            found = Windows(batch.column(1), window)
+            yield _names_batch(chunk, found.marks(), (sink.getvalue().to_pybytes(), len(found.first)))
             chunk += 1
 
     return run
