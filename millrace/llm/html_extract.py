@@ -3,7 +3,7 @@
 A page is a sequence of words and tags. A word scores the log-odds that it belongs to the main text, learned
 from labelled pages by logistic regression on the elements, classes and ids that it stands in; a tag costs what its
 kind cost in them. One linear scan finds the contiguous region of the greatest total score, and the text blocks of
-the region are returned, without the subtrees whose own names are learned to be no content.
+the region are returned, without the subtrees whose own names are learned to be no content and without blocks of links alone.
 
 Nulls count as empty. Pages without any positive word give an empty text. Broken markup is read as far as it goes: an end tag
 closes the nearest open element of its name, a new block closes an open paragraph, and all is closed at the end.
@@ -132,18 +132,26 @@ def region(page: Page, weights: Weights) -> tuple[int, int]:
 def main_text(source: str, weights: Weights) -> str:
     page = Page(source)
     first, last = region(page, weights)
-    blocks, line = [], []
+    blocks, line, total = [], [], 0.0
+
+    def end_block() -> None:
+        nonlocal line, total
+        if total > 0:
+            blocks.append("".join(line))
+        line, total = [], 0.0
+
     for kind, value, extra in page.items[first:last]:
         if kind == "text":
             stack = page.stacks[extra]
-            if weights.score(stack) > 0 and not CLUTTER.intersection(stack):
+            # A link stays in a block that has more than links.
+            if not CLUTTER.intersection(stack) and weights.score(tuple(f for f in stack if f != "a")) > 0:
                 line.append(value)
+                total += weights.score(stack) * len(value.split())
         elif extra:
-            blocks.append("".join(line))
-            line = []
+            end_block()
         elif value == "br":
             line.append(" ")
-    blocks.append("".join(line))
+    end_block()
     clean = (_SPACE.sub(" ", entities.unescape(b)).strip() for b in blocks)
     return "\n".join(b for b in clean if b)
 
