@@ -42,7 +42,6 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
-_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
 
 
 def features(name: str, attrs: str) -> tuple[str, ...]:
@@ -51,9 +50,8 @@ def features(name: str, attrs: str) -> tuple[str, ...]:
         return (name,)
     found = {name}
     for m in _NAMED.finditer(attrs):
-        for word in re.split(r"[\s\"']+", m[2].lower()):
-            parts = _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", word))
-            found.update("." + p for p in parts if not p.isdigit())
+        parts = _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2]).lower())
+        found.update("." + p for p in parts if not p.isdigit())
     return tuple(sorted(found))
 
 
@@ -152,7 +150,7 @@ def main_text(source: str, weights: Weights) -> str:
         elif value == "br":
             line.append(" ")
     end_block()
-    clean = (_SPACE.sub(" ", entities.unescape(b)).strip() for b in blocks)
+    clean = (" ".join(entities.unescape(b).split()) for b in blocks)
     return "\n".join(b for b in clean if b)
 
 
