@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import curation, evaluation, geometry, identifiers, sampling, statistics, tables, textual
+from .plans import assets, curation, evaluation, geometry, identifiers, sampling, statistics, tables, textual
 
-_MODULES = (identifiers, geometry, curation, sampling, statistics, tables, evaluation, textual)
+_MODULES = (identifiers, geometry, curation, sampling, assets, statistics, tables, evaluation, textual)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -70,11 +70,19 @@ def mask_metrics(mask: np.ndarray) -> dict[str, float]:
     }
 
 
-def edge_brightness(grey: np.ndarray, corner: int = 8) -> tuple[float, float]:
-    """Mean of the brightest corner and the 95th percentile of the border."""
+#: Widths of border and corner, and the limits above the centre (fixed values).
+BORDER, CORNER, CORNER_LIMIT, BORDER_LIMIT = 24, 72, 13, 18
+
+
+def bright_edges(grey: np.ndarray) -> tuple[float, float, bool]:
+    """How far the brightest corner's median and the border's 95th percentile lie above the centre's median, and whether either is a risk."""
     g = np.asarray(grey, float)
-    corners = [g[:corner, :corner], g[:corner, -corner:], g[-corner:, :corner], g[-corner:, -corner:]]
-    return max(float(c.mean()) for c in corners), float(np.percentile(np.concatenate([g[0], g[-1], g[:, 0], g[:, -1]]), 95))
+    h, w = g.shape
+    middle = float(np.median(g[h // 4 : 3 * h // 4, w // 4 : 3 * w // 4]))
+    corners = [np.median(g[y, x]) for y in (slice(CORNER), slice(-CORNER, None)) for x in (slice(CORNER), slice(-CORNER, None))]
+    edge = np.concatenate([g[:BORDER].ravel(), g[-BORDER:].ravel(), g[:, :BORDER].ravel(), g[:, -BORDER:].ravel()])
+    corner, border = float(max(corners)) - middle, float(np.percentile(edge, 95)) - middle
+    return corner, border, corner > CORNER_LIMIT or border > BORDER_LIMIT
 
 
 class MaskProvider(Protocol):
@@ -99,6 +107,16 @@ def phash_of(values: Column, side: int) -> Column:
     return run(values)
 
 
+def mask_area_of(values: Column, side: int) -> Column:
+    """The share of positive values of an image given as a flat array."""
+
+    @F.pandas_udf("double")
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda v: None if v is None or len(v) != side * side else mask_metrics(np.asarray(v, float).reshape(side, side) > 0)["area_ratio"])
+
+    return run(values)
+
+
 def measured(image: Column, measure: Callable[[np.ndarray], float]) -> Column:
     """A number for each image struct."""
 

@@ -74,11 +74,20 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def zip_members(spark: SparkSession, path: str, suffixes: tuple[str, ...] | None = None) -> DataFrame:
     """A row for each file in each zip archive; suffixes in lower case."""
-    return _unpacked(spark.read.format("binaryFile").load(path), _zip_members, suffixes)
+    return unpack_zip(spark.read.format("binaryFile").load(path), suffixes)
 
 
 def tar_members(spark: SparkSession, path: str, suffixes: tuple[str, ...] | None = None) -> DataFrame:
-    return _unpacked(spark.read.format("binaryFile").load(path), _tar_members, suffixes)
+    return unpack_tar(spark.read.format("binaryFile").load(path), suffixes)
+
+
+def unpack_zip(files: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    """The members of archives given as rows (path, content)."""
+    return _unpacked(files, _zip_members, suffixes)
+
+
+def unpack_tar(files: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    return _unpacked(files, _tar_members, suffixes)
 
 
 def samples(members: DataFrame, image: str = ".jpg", label: str = ".json") -> DataFrame:

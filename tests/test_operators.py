@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geometry, images, numbers, paths
 from millrace.functions.geometry import Box
-from millrace.operators import detection, eda, labels, overlap, pairing, sampling, schedule, shards, split, stats, text, validate
+from millrace.operators import assets, detection, eda, labels, overlap, pairing, sampling, schedule, shards, split, stats, text, validate
 from millrace.operators.prefix import running_total
 
 
@@ -224,3 +224,35 @@ def test_images():
     mask[2:4, 5:9] = True
     assert images.alpha_box(mask * 255) == [5, 2, 4, 2] and images.alpha_box(mask * 10) is None
     assert images.mask_metrics(mask)["fill_ratio"] == 1.0 and images.mask_metrics(np.ones((3, 3)))["edge_touch"] == 1.0
+
+
+def test_bright_edges():
+    flat = np.full((300, 300), 100.0)
+    assert images.bright_edges(flat) == (0.0, 0.0, False)
+    flat[:72, :72] = 120
+    assert images.bright_edges(flat)[2]
+
+
+def test_placement(spark):
+    size = 4
+    slots = spark.range(30).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
+    cx, cy = assets.centre(F.col("id"), F.lit(size), F.col("slot"), 976, 1280, "s")
+    got = assets.place_objects(slots.select("id", "slot", F.lit(220).alias("w"), F.lit(200).alias("h"), cx.alias("cx"), cy.alias("cy")), "id", "slot", 976, 1280, "s").collect()
+    placed = [r for r in got if r.attempt >= 0]
+    assert len(got) == 30 * size and len(placed) > 100
+    for r in placed:
+        assert 16 <= r.x <= 976 - 16 - 220 and 16 <= r.y <= 1280 - 16 - 200
+        for q in placed:
+            if q.image == r.image and q.slot < r.slot:
+                common = max(0, 220 - abs(q.x - r.x)) * max(0, 200 - abs(q.y - r.y))
+                assert common * 100 <= 2 * (2 * 220 * 200 - common)
+    tiny = assets.place_objects(spark.createDataFrame([(1, 0, 5, 5, 100, 100)], "i int, s int, w int, h int, cx int, cy int"), "i", "s", 976, 1280, "s")
+    assert tiny.first().attempt == -1
+
+
+def test_asset_bank(spark):
+    df = spark.createDataFrame([("a", k, k != 1) for k in range(6)] + [("b", 0, None)], "p string, o int, ok boolean")
+    existing = spark.createDataFrame([("a",)], "p string")
+    assert rows(assets.asset_bank(df, "p", ["o"], F.col("ok"), 3, existing).select("p", "o", "asset_index")) == [("a", 0, 1), ("a", 2, 2)]
+    kept, rejected = assets.gated(df, F.col("ok"))
+    assert (kept.count(), rejected.count()) == (5, 2)
