@@ -52,6 +52,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
+    last = None
     for name, stage in STAGES[:-1]:
         docs = scratch.cut(stage(spark, docs, sf_dir), name)
+        if last:
+            scratch.drop(last)
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)

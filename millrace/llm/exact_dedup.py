@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -70,15 +70,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in PROOF])
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(*columns, F.col(f"`{id_col}`").alias("__doc"), *[c.alias(f"__own_{n}") for c, n in zip(_digest(text_col), PROOF, strict=True)])
-    same = F.col("__doc").eqNullSafe(F.col("__id"))
-    for c in PROOF:
-        same = same & (F.col(f"__own_{c}") == F.col(f"__{c}"))
-    stay = marked.join(kept, same, "left_semi")
-    from pyspark.sql import Window
-
+    # Plain keys, so that the join's partitioning serves the window too and texts move once.
+    key = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias("__key"), c.isNull().alias("__none")]
+    own = [c.alias(f"__{n}") for c, n in zip(_digest(text_col), PROOF, strict=True)]
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(*key(F.col("doc_id")), *[F.col(c).alias(f"__{c}") for c in PROOF])
+    keys = ["__key", "__none", *[f"__{c}" for c in PROOF]]
+    stay = docs.select(*columns, *key(F.col(f"`{id_col}`")), *own).join(kept, keys, "left_semi")
     # Rows equal in identifier and text cannot be told apart by the join; one of them stays.
-    keys = ["__doc", *[f"__own_{c}" for c in PROOF]]
-    return stay.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy("__doc"))).where("__nth = 1").select(*columns)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__key"))
+    return stay.withColumn("__nth", nth).where("__nth = 1").select(*columns)
