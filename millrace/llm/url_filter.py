@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: (verdict, host and path prefix). The longest that fits wins.
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 #: Suffixes of two labels under which names are registered (fixed values; one label otherwise).
@@ -69,14 +71,16 @@ def _shrunk(groups: DataFrame) -> DataFrame:
 
 def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     """Of labelled outcomes (host, bad as 0 or 1): host, n, mean, lower - the posterior of the host's bad share."""
+    scratch = Scratch(outcomes.sparkSession, "urls")
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    # Every level is read more than once (its strength, its means), so each is written.
+    hosts = scratch.cut(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     whole = suffixes.agg((F.sum("bad") / F.sum("n")).alias("prior"))
-    suffixes = _shrunk(suffixes.crossJoin(F.broadcast(whole)))
-    domains = _shrunk(domains.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"))
-    hosts = _shrunk(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"]))
+    suffixes = _shrunk(scratch.cut(suffixes.crossJoin(F.broadcast(whole)), "suffixes"))
+    domains = _shrunk(scratch.cut(domains.join(suffixes.select("suffix", F.col("mean").alias("prior")), "suffix"), "domains"))
+    hosts = _shrunk(scratch.cut(hosts.join(domains.select("domain", "suffix", F.col("mean").alias("prior")), ["domain", "suffix"]), "priors"))
     sd = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("k") + 1))
     return hosts.select("host", "n", "mean", (F.col("mean") - F.lit(z) * sd).alias("lower"))
 
