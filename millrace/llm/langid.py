@@ -34,7 +34,7 @@ from .quality import held_out
 #: Longest piece and run of letters, in characters (with the mark); rounds of learning; counts added to every piece.
 PIECE, LONGEST, ROUNDS, ADDED = 8, 40, 3, 0.05
 #: Distinct words that a worker keeps.
-CACHE = 400_000
+CACHE = 300_000
 MARK = 0x2581
 U = np.uint64
 
@@ -155,10 +155,12 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, vocab: str
     """Languages and their piece probabilities, from the training fold."""
     id_, lang = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`").cast("string")
     known = docs.where(~held_out(id_) & lang.isNotNull()).select(id_.alias("id"), lang.alias("lang"), F.xxhash64(id_).alias("h"))
-    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).select("lang")
+    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    langs = langs.select("lang", F.greatest(F.lit(1), F.floor(F.col("n") / (2 * max_docs))).cast("long").alias("span"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    # At most max_docs * max_languages identifiers.
-    sample = known.join(F.broadcast(langs), "lang").withColumn("nth", nth).where(F.col("nth") <= max_docs).select("id", "lang").distinct()
+    # A hash threshold leaves about twice the documents asked for, so that the ranks have a bounded input at any size.
+    spread = known.join(F.broadcast(langs), "lang").where(F.pmod("h", "span") == 0)
+    sample = spread.withColumn("nth", nth).where(F.col("nth") <= max_docs).select("id", "lang").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -242,7 +244,7 @@ def identify(
         if (scorer := _scorers.get(key)) is None:
             _scorers.clear()
             scorer = _scorers[key] = Scorer(*shared.value, vocab)
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, "__text", 1 << 19):
             pred, score = scorer.predict([t or "" for t in batch.column(batch.num_columns - 1).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names[:-1], "__lang_pred", "__score"])
 
