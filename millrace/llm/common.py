@@ -16,10 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where unset (tests), a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a temporary folder on a
+    local master (tests) and a folder in the warehouse on a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
+            base = "file://" + tempfile.mkdtemp(prefix="millrace-")
+        else:
+            base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
