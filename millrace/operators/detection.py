@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import Box
 from ..functions.numbers import wilson_lower
+from .prefix import running_totals
 
 
 def match(truth: DataFrame, found: DataFrame, keys: list[str], pos: str, score: str, percent: int = 50) -> DataFrame:
@@ -24,10 +25,15 @@ def match(truth: DataFrame, found: DataFrame, keys: list[str], pos: str, score:
     return found.join(hits, [*keys, pos], "left").withColumn("tp", F.coalesce("tp", F.lit(0)))
 
 
-def pr_curve(matched: DataFrame, truth_counts: DataFrame, by: str, score: str, ties: list[str]) -> DataFrame:
-    """Per class and detection by falling score: running true and false positives, precision and recall."""
-    w = Window.partitionBy(by).orderBy(F.desc(score), *ties).rowsBetween(Window.unboundedPreceding, 0)
-    run = matched.withColumn("tps", F.sum("tp").over(w)).withColumn("rank", F.count(F.lit(1)).over(w))
+def pr_curve(matched: DataFrame, truth_counts: DataFrame, by: str, score: str, ties: list[str], bounds: list | None = None) -> DataFrame:
+    """Per class and detection by falling score: running true positives, rank, precision and recall.
+
+    bounds: quantiles of the negated score, if known from a cheaper table than `matched`.
+    """
+    # A class may hold most detections: its sums run in buckets of the score.
+    falling = matched.withColumn("__falling", -F.col(score)).withColumn("__one", F.lit(1))
+    run = running_totals(falling, "__falling", {"tps": "tp", "rank": "__one"}, ties, [by], bounds)
+    run = run.withColumn("tps", F.col("tps") + F.col("tp")).withColumn("rank", F.col("rank") + 1).drop("__falling", "__one")
     run = run.join(truth_counts, by)
     return run.withColumn("precision", F.col("tps") / F.col("rank")).withColumn("recall", F.col("tps") / F.greatest(F.col("n_truth"), F.lit(1)))
 

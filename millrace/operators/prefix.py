@@ -1,4 +1,4 @@
-"""Running totals over a whole table without one global window."""
+"""Running totals over a whole table, or large groups, without one window for all rows."""
 
 from __future__ import annotations
 
@@ -6,19 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, order: str, value: str, ties: list[str], out: str = "before", buckets: int = 64) -> DataFrame:
-    """Adds the sum of `value` over all rows before each row, by the numeric column `order` and then `ties`.
+def quantile_bounds(df: DataFrame, order: str, buckets: int = 64) -> list:
+    """Distinct values that cut the rows into about equal buckets by a numeric column."""
+    cuts = [i / buckets for i in range(1, buckets)]
+    return sorted(set(df.agg(F.percentile_approx(order, cuts, 10_000)).first()[0] or []))
+
+
+def running_totals(df: DataFrame, order: str, values: dict[str, str], ties: list[str], by: list[str] | None = None, bounds: list | None = None) -> DataFrame:
+    """Adds, for each (new column, value) pair, the sum of the value over all rows (of the same `by`) before each row, by
+    the numeric column `order` and then `ties`.
 
-    Rows are bucketed at quantiles of `order`; sums run within buckets, and only the bucket totals (at most
-    `buckets` rows) meet in one window.
+    Rows are bucketed at quantiles of `order`; sums run within buckets, and only the bucket totals (a row for each
+    bucket and group) meet in one window. Unless bounds are given, the quantiles cost one more pass over `df`.
     """
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.agg(F.percentile_approx(order, cuts, 10_000)).first()[0] or []))
+    by, bounds = by or [], quantile_bounds(df, order) if bounds is None else bounds
     at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))) if bounds else F.lit(0)
     placed = df.withColumn("__bucket", at)
-    totals = placed.groupBy("__bucket").agg(F.sum(value).alias("__sum"))
-    ahead = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__bucket", F.coalesce(F.sum("__sum").over(ahead), F.lit(0)).alias("__offset"))
-    within = Window.partitionBy("__bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn("__local", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return local.join(F.broadcast(offsets), "__bucket").withColumn(out, F.col("__local") + F.col("__offset")).drop("__bucket", "__local", "__offset")
+    zero = F.lit(0)
+    within = Window.partitionBy(*by, "__bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*by, "__bucket").agg(*[F.sum(v).alias(f"__sum_{out}") for out, v in values.items()])
+    ahead = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "__bucket", *[F.coalesce(F.sum(f"__sum_{out}").over(ahead), zero).alias(f"__offset_{out}") for out in values])
+    local = placed.select("*", *[F.coalesce(F.sum(v).over(within), zero).alias(f"__local_{out}") for out, v in values.items()])
+    joined = local.join(offsets if by else F.broadcast(offsets), [*by, "__bucket"])
+    return joined.select(*df.columns, *[(F.col(f"__local_{out}") + F.col(f"__offset_{out}")).alias(out) for out in values])
+
+
+def running_total(df: DataFrame, order: str, value: str, ties: list[str], out: str = "before", by: list[str] | None = None) -> DataFrame:
+    """The same for one value."""
+    return running_totals(df, order, {out: value}, ties, by)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pearson
+from .prefix import running_total
 
 
 def class_distribution(classes: DataFrame, class_col: str, counted: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -42,11 +43,13 @@ def correlation(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> D
 
 
 def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Ranks from 1, ties sharing their average. Ranks are of distinct values, from counts, so ties are aggregated first."""
-    counts = df.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    below = F.coalesce(F.sum("__n").over(Window.orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = counts.withColumn(out, below + (F.col("__n") + 1) / 2)
-    return df.join(ranked.drop("__n"), F.col(value).eqNullSafe(F.col("__v"))).drop("__v")
+    """Ranks of a numeric column from 1, ties sharing their average; a null has rank null.
+
+    Ties are aggregated first, and the counts below each value are summed in quantile buckets.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running_total(counts, "__v", "__n", [], "__below").select("__v", (F.col("__below") + (F.col("__n") + 1) / 2).alias(out))
+    return df.join(ranked, F.col(value) == F.col("__v"), "left").drop("__v")
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import detection, retrieval
+from ..operators.prefix import quantile_bounds
 from .base import BOXES, Registry, boxes, inter, read, register, union
 
 REGISTRY: Registry = {}
@@ -43,10 +44,14 @@ def det_match(spark, sf_dir):
     return m.join(_counts(spark, sf_dir), "class").select("class", "tp", "fp", (F.col("n_truth") - F.col("tp")).alias("fn"))
 
 
+def _curve(spark, sf_dir, counts):
+    bounds = quantile_bounds(_found(spark, sf_dir).select((-F.col("score")).alias("o")), "o")
+    return detection.pr_curve(_matched(spark, sf_dir), counts, "class", "score", ["image_id", "pos"], bounds)
+
+
 @register(REGISTRY, f'WITH {_DET} SELECT class, image_id, pos, round(tps / rank::DOUBLE, 9) AS "precision", round(tps / n_truth::DOUBLE, 9) AS recall FROM curve')
 def pr_curve(spark, sf_dir):
-    curve = detection.pr_curve(_matched(spark, sf_dir), _counts(spark, sf_dir), "class", "score", ["image_id", "pos"])
-    return curve.select("class", "image_id", "pos", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
+    return _curve(spark, sf_dir, _counts(spark, sf_dir)).select("class", "image_id", "pos", F.round("precision", 9).alias("precision"), F.round("recall", 9).alias("recall"))
 
 
 _AP = "ap AS (SELECT class, n_truth, round(coalesce(sum(p), 0) / 101, 6) AS ap FROM (SELECT nt.class, nt.n_truth, k, max(tps / rank::DOUBLE) AS p FROM nt, range(0, 101) r(k) LEFT JOIN curve c ON c.class = nt.class AND 100 * c.tps >= k * nt.n_truth GROUP BY ALL) GROUP BY class, n_truth)"
@@ -55,7 +60,7 @@ _AP = "ap AS (SELECT class, n_truth, round(coalesce(sum(p), 0) / 101, 6) AS ap F
 @register(REGISTRY, f"WITH {_DET}, {_AP} SELECT class, n_truth, ap FROM ap")
 def ap101(spark, sf_dir):
     counts = _counts(spark, sf_dir)
-    return detection.average_precision(detection.pr_curve(_matched(spark, sf_dir), counts, "class", "score", ["image_id", "pos"]), counts, "class")
+    return detection.average_precision(_curve(spark, sf_dir, counts), counts, "class")
 
 
 @register(REGISTRY, f"WITH {_DET}, {_AP} SELECT round(avg(ap), 6) AS map FROM ap")
