@@ -15,6 +15,7 @@ each for itself. Empty tables give empty results. A text is held whole by one ta
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,11 +102,31 @@ def encoder(vocabulary: str):
     return _encoders[vocabulary]
 
 
+#: The pattern engine's stack ends near a million characters of white space; longer runs than this are cut out before it.
+LONG_SPACE = 100_000
+#: White space as the pattern has it (the Unicode property; Python's own class has four control characters more).
+SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def encode(encoding, text: str, longest: int = LONG_SPACE) -> list[int]:
+    """The tokens of a text of any length. The pattern takes a run of white space as one piece, but for its last
+    character when more text follows; runs over `longest` are cut out in the same way."""
+    if len(text) <= longest:
+        return encoding.encode_ordinary(text)
+    ids, done = [], 0
+    for run in re.finditer(f"(?<!{SPACE}){SPACE}{{{longest + 1},}}", text):
+        end = run.end() - (run.end() < len(text))
+        ids += encoding.encode_ordinary(text[done : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : end])
+        done = end
+    return ids + encoding.encode_ordinary(text[done:])
+
+
 def _tokenize(vocabulary: str, end_id: int, bounds: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encoding = encoder(vocabulary)
         for batch in slices(batches, "text"):
-            ids = [np.array([*encode(t or ""), end_id], np.uint32) for t in batch.column(1).to_pylist()]
+            ids = [np.array([*encode(encoding, t or ""), end_id], np.uint32) for t in batch.column(1).to_pylist()]
             keys = _whole_keys(batch)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -215,6 +215,23 @@ def test_encoders_agree():
         assert packing.encoder("byte_bpe_50k.tiktoken").encode_ordinary(t) == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_long_white_space():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encoding = packing.encoder("byte_bpe_50k.tiktoken")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    long = 1_100_000
+    for t in (" " * long + "x", "a" + "\n" * long + "'s", "a " + "\u3000\t" * (long // 2), "b" + " " * long + "\x1c" + "\n" * long):
+        assert packing.encode(encoding, t) == tokenizer.encode(t, add_special_tokens=False).ids
+    rng = random.Random(4)
+    marks = [" ", " ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2009", "\u200b", "\u2028", "\u3000", "a", "7", "'s", "-"]
+    for _ in range(500):
+        t = "".join(rng.choice(marks) * rng.choice([1, 1, 2, 5]) for _ in range(12))
+        assert packing.encode(encoding, t, longest=rng.choice([1, 2, 3])) == tokenizer.encode(t, add_special_tokens=False).ids
+
+
 def test_nearest(spark):
     rng = np.random.Generator(np.random.PCG64(3))
     x = rng.standard_normal((600, 16)).astype(np.float32) * rng.uniform(0.2, 3, (600, 1)).astype(np.float32)
