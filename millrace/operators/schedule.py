@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_order
+from ..functions.hashing import hash_int, hash_order
 from .prefix import running_total
 
 
@@ -55,6 +55,30 @@ def hard_mix(anchors: DataFrame, combo_col: str, products: DataFrame, product_co
     return few.withColumn("nth", least).where(F.col("nth") <= k).select("combo", "anchor", "partner", "nth")
 
 
+def hard_mix_drawn(anchors: DataFrame, combo_col: str, products: DataFrame, product_col: str, group_col: str, used_col: str, seed: str, most: int = 16, k: int = 3) -> DataFrame:
+    """The same with candidates drawn by place: `most` distinct hashed places among the other products of the group
+    (Floyd's sampling: every subset is equally likely), so that an anchor never meets its whole group.
+
+    Products have numeric identifiers, each once. Groups with one product have no partners.
+    """
+    grouped = products.where(F.col(group_col).isNotNull()).select(F.col(product_col).alias("partner"), F.col(group_col).alias("__g"), F.col(used_col).alias("used"), F.lit(1).alias("__one"))
+    placed = running_total(grouped, "partner", "__one", [], "__at", ["__g"]).drop("__one")
+    sizes = placed.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    own = placed.join(sizes, "__g").select(F.col("partner").alias("anchor"), "__g", F.col("__at").alias("__own"), (F.col("__n") - 1).alias("__others"))
+    anchor = anchors.select(F.col(combo_col).alias("combo"), F.col(product_col).alias("anchor")).join(own, "anchor").where("__others > 0")
+
+    def step(taken, top):
+        at = hash_int(seed, F.col("combo"), top) % (top + 1)
+        return F.concat(taken, F.array(F.when(F.array_contains(taken, at), top).otherwise(at)))
+
+    tops = F.sequence(F.greatest(F.col("__others") - most, F.lit(0)), F.col("__others") - 1)
+    drawn = anchor.withColumn("__p", F.explode(F.aggregate(tops, F.array().cast("array<bigint>"), step)))
+    at = F.col("__p") + F.when(F.col("__p") >= F.col("__own"), 1).otherwise(0)
+    few = drawn.withColumn("__at", at).join(placed, ["__g", "__at"])
+    least = F.row_number().over(Window.partitionBy("combo").orderBy("used", hash_order(seed, F.col("combo"), F.col("partner")), "partner"))
+    return few.withColumn("nth", least).where(F.col("nth") <= k).select("combo", "anchor", "partner", "nth")
+
+
 def deficit_balanced(sizes: DataFrame, order_col: str, size_col: str, products: DataFrame, product_col: str, real_col: str, seed: int, floor: int = 0, synthetic_only: bool = False) -> DataFrame:
     """Rows (combo, slot, product): products below the floor first, then by (used before, real + used), ties by hash.
 

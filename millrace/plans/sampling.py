@@ -8,6 +8,7 @@ from ..functions.hashing import hash_unit
 from ..functions.numbers import piecewise
 from ..operators import sampling as ops
 from ..operators import schedule, shards, split
+from ..operators.prefix import running_total
 from .base import Registry, read, register
 
 REGISTRY: Registry = {}
@@ -137,6 +138,15 @@ def hard_mix(spark, sf_dir):
     return schedule.hard_mix(anchors, "o_orderkey", part.where("p_partkey <= 200"), "p_partkey", "p_brand", "p_size", "hm")
 
 
+@register(REGISTRY)
+def hard_mix_all(spark, sf_dir):
+    """Partners for all orders, among all parts; orders are dealt over the parts in turn. Too many pairs for SQL: tests compare with brute force."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size").withColumn("one", F.lit(1))
+    dealt = running_total(part, "p_partkey", "one", [], "turn").select("p_partkey", "turn")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.pmod("o_orderkey", F.lit(max(1, part.count()))).alias("turn"))
+    return schedule.hard_mix_drawn(orders.join(dealt, "turn"), "o_orderkey", part, "p_partkey", "p_brand", "p_size", "hm")
+
+
 @register(REGISTRY)
 def deficit_balanced(spark, sf_dir):
     sizes = read(spark, sf_dir, "customer").select("c_custkey", ops.size_draw(F.col("c_custkey"), "s").alias("size"))

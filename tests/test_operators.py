@@ -108,6 +108,43 @@ def test_deficit_balance(spark):
     assert sum(counts.values()) == 60 and counts["c"] >= 4 and counts["a"] >= counts["b"] >= counts["c"]
 
 
+def test_hard_mix_over_all_rows(spark):
+    import collections
+    import hashlib
+
+    from millrace import catalog
+
+    sf = "/root/testdata/sf0.001"
+    part = sorted((r.p_partkey, r.p_brand, r.p_size) for r in spark.read.parquet(f"{sf}/part.parquet").collect())
+    orders = [r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()]
+    groups = collections.defaultdict(list)
+    for p, g, _ in part:
+        groups[g].append(p)
+    size = {p: s for p, _, s in part}
+
+    def sha(*parts):
+        return hashlib.sha1("|".join(map(str, parts)).encode()).hexdigest()
+
+    want = []
+    for o in orders:
+        anchor, g, _ = part[o % len(part)]
+        others, chosen = [p for p in groups[g] if p != anchor], []
+        for top in range(max(0, len(others) - 16), len(others)):
+            at = int(sha("hm", o, top)[:13], 16) % (top + 1)
+            chosen.append(top if at in chosen else at)
+        best = sorted((size[others[i]], sha("hm", o, others[i])[:16], others[i]) for i in chosen)[:3]
+        want += [(o, anchor, p, n) for n, (*_, p) in enumerate(best, 1)]
+    assert rows(catalog.queries()["hard_mix_all"](spark, sf)) == sorted(want)
+    assert {a for _, a, *_ in want} == {p for p, g, _ in part if len(groups[g]) > 1}
+
+    # Every other product of a larger group is drawn about equally often.
+    products = spark.createDataFrame([(i * 3, "g", 0) for i in range(40)] + [(1000, "alone", 0), (1001, None, 0)], "p long, g string, used int")
+    anchors = spark.createDataFrame([(c, 30) for c in range(3000)] + [(5000, 1000), (5001, 1001)], "c long, p long")
+    got = schedule.hard_mix_drawn(anchors, "c", products, "p", "g", "used", "t", k=16).groupBy("partner").count().collect()
+    assert {r.partner for r in got} == {i * 3 for i in range(40)} - {30}
+    assert sum(r["count"] for r in got) == 16 * 3000 and all(abs(r["count"] - 3000 * 16 / 39) < 140 for r in got)
+
+
 def test_round_robin(spark):
     uses = spark.createDataFrame([("a", i) for i in range(7)] + [("z", 0)], "p string, o int")
     assets = spark.createDataFrame([("a", k) for k in range(3)], "p string, asset int")
