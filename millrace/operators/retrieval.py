@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A reference side of at most this many rows is broadcast.
+#: At most this many queries are broadcast; more are compared in blocks of about as many.
 BROADCAST_ROWS = 100_000
 
 
@@ -20,13 +20,17 @@ def cosine(a: Column, b: Column) -> Column:
 def top_k(queries: DataFrame, items: DataFrame, id_col: str, vector: str, k: int, digits: int = 6) -> DataFrame:
     """The k most similar items of every query, itself excluded: query_id, rank, item_id, similarity.
 
-    The stated queries must be few: they are broadcast, and the items stream past them.
+    A few stated queries are broadcast, and the items stream past them; more of them are cut into blocks, and each task
+    compares one block with one partition of the items.
     """
-    if queries.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} queries; use an index")
+    n = queries.count()
     q = queries.select(F.col(id_col).alias("query_id"), F.col(vector).alias("__q"))
     i = items.select(F.col(id_col).alias("item_id"), F.col(vector).alias("__i"))
-    pairs = i.crossJoin(F.broadcast(q)).where("query_id <> item_id")
+    if n <= BROADCAST_ROWS:
+        q = F.broadcast(q)
+    else:
+        q = q.repartition(-(-n // BROADCAST_ROWS), "query_id").hint("shuffle_replicate_nl")
+    pairs = i.crossJoin(q).where("query_id <> item_id")
     scored = pairs.select("query_id", "item_id", F.round(cosine(F.col("__q"), F.col("__i")), digits).alias("similarity"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k)

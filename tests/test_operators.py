@@ -145,6 +145,19 @@ def test_hard_mix_over_all_rows(spark):
     assert sum(r["count"] for r in got) == 16 * 3000 and all(abs(r["count"] - 3000 * 16 / 39) < 140 for r in got)
 
 
+def test_top_k_in_blocks(spark, monkeypatch):
+    from millrace.operators import retrieval
+
+    items = spark.createDataFrame([(i, [float((i * 7 + j * j) % 11 - 5) for j in range(6)]) for i in range(60)], "id long, v array<float>")
+    queries = items.where("id % 2 = 0")
+    whole = rows(retrieval.top_k(queries, items, "id", "v", 5))
+    assert len(whole) == 30 * 5
+    monkeypatch.setattr(retrieval, "BROADCAST_ROWS", 7)
+    blocks = retrieval.top_k(queries, items, "id", "v", 5)
+    assert rows(blocks) == whole
+    assert "CartesianProduct" in blocks._jdf.queryExecution().toString()
+
+
 def test_round_robin(spark):
     uses = spark.createDataFrame([("a", i) for i in range(7)] + [("z", 0)], "p string, o int")
     assets = spark.createDataFrame([("a", k) for k in range(3)], "p string, asset int")
