@@ -26,6 +26,10 @@ from .common import slices
 
 #: Elements whose content is never text (fixed values of the HTML standard).
 RAW = ("script", "style", "template", "noscript", "iframe", "svg", "math", "object", "canvas", "audio", "video", "title", "textarea", "select")
+#: Raw elements that run to the end of the page if nothing closes them; others are then read as plain elements.
+TO_THE_END = {"script", "style", "title", "textarea"}
+#: Raw elements that end at "/>".
+SELF_CLOSED = {"svg", "math"}
 #: Elements without an end tag (fixed values of the HTML standard).
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements inside a line; all others begin and end a block (fixed values of the HTML standard).
@@ -36,10 +40,11 @@ INLINE = {
 CLUTTER = {"nav", "aside", "footer", "form", "button", "dialog", "menu", "fieldset", "input", "label", "option"}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?P<cut>/?[a-zA-Z][^>]*)\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 _PART = re.compile(r"[a-z]+|\d+")
 
@@ -64,18 +69,29 @@ class Page:
         self.stacks: list[tuple[str, ...]] = [()]
         open_: list[tuple[str, int]] = []
         known: dict[tuple[int, tuple[str, ...]], int] = {}
-        here = 0
-        for m in _TOKEN.finditer(source):
+        here = at_char = 0
+        unclosed: set[str] = set()
+        while at_char < len(source):
+            m = _TOKEN.match(source, at_char)
+            at_char = m.end()
             text = m["text"]
             if text is not None:
                 self.items.append(("text", text, here))
                 continue
             name = m["name"]
             if name is None:
-                if m["raw"] and m["raw"].lower() not in INLINE:
-                    self.items.append(("tag", m["raw"].lower(), 0))
                 continue
             name = name.lower()
+            if name in _CLOSE and not m["end"]:
+                if name in SELF_CLOSED and m["attrs"].endswith("/"):
+                    self.items.append(("tag", name, 0))
+                    continue
+                close = None if name in unclosed else _CLOSE[name].search(source, at_char)
+                if close or name in TO_THE_END:
+                    at_char = close.end() if close else len(source)
+                    self.items.append(("tag", name, 0))
+                    continue
+                unclosed.add(name)
             if m["end"]:
                 at = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
                 if at is not None:

@@ -403,3 +403,16 @@ def test_pipeline(spark, tmp_path, rows):
     assert {r["doc_id"] for r in after["minhash_dedup"]} == {c for _, c in groups.values()}
     assert {r["doc_id"] for r in after["pack"]} == {r["doc_id"] for r in after["mix_sources"]} <= {r["doc_id"] for r in after["minhash_dedup"]}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(after["pack"])
+
+
+@pytest.mark.parametrize("raw", ["<svg class='i'/>", "<SVG />", "<math/>", "<svg class='i'>", "<iframe src='x'>", "<video>" * 3, "<svg><path d='M0'/>side</svg>", "<title>side</title>"])
+def test_extract_keeps_text_after_raw_elements(raw):
+    article = "<article>" + "<p>words of the article go on here and on and on</p>" * 5 + "</article>"
+    for tail in ("", "<footer><svg><path d='M0'/></svg></footer>" if "/>" in raw else ""):
+        text = html_extract.main_text(f"<html><body><header>{raw}</header>{article}{tail}</body></html>", html_extract.learned())
+        assert text == "\n".join(["words of the article go on here and on and on"] * 5)
+
+
+def test_extract_runs_to_the_end_of_scripts():
+    text = html_extract.main_text("<article>" + "<p>main words of it</p>" * 5 + "</article><script>" + "<p>no words</p>" * 9, html_extract.learned())
+    assert text == "\n".join(["main words of it"] * 5)
