@@ -127,6 +127,17 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("__copy").alias("copy"), F.col("__copies").alias("n_copies"), F.col("__order").alias("order_key"))
 
 
+def op9_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over whole documents: texts go through the shuffle, and their digest is taken behind it."""
+    from .mixing import mix_sources
+
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", "source", F.col("__copy").alias("copy"), F.col("__copies").alias("n_copies"), F.col("__order").alias("order_key"),
+        "lang", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
 OP9_SQL = """
 WITH rates AS (
   SELECT source, n_rows, pow(n_rows, 0.7) * sum(n_rows) OVER () / (sum(pow(n_rows, 0.7)) OVER () * n_rows) AS rate
@@ -151,9 +162,15 @@ FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 """
 
 
+OP9_DOCUMENTS_SQL = f"""
+SELECT m.*, d.lang, d.n_chars, sha256(coalesce(d.text, '')) AS text_sha256
+FROM ({OP9_SQL}) m JOIN documents d USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op5_language": op5_language, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op5_language": op5_language, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op9_mix_documents": op9_mix_documents, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}
+    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL, "op9_mix_documents": OP9_DOCUMENTS_SQL}

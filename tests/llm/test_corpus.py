@@ -416,3 +416,11 @@ def test_extract_keeps_text_after_raw_elements(raw):
 def test_extract_runs_to_the_end_of_scripts():
     text = html_extract.main_text("<article>" + "<p>main words of it</p>" * 5 + "</article><script>" + "<p>no words</p>" * 9, html_extract.learned())
     assert text == "\n".join(["main words of it"] * 5)
+
+
+def test_whole_documents_are_mixed(spark):
+    from millrace.llm import queries
+
+    plan = queries.op9_mix_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    assert "sha2" in above and "sha2" not in below and "text#" in below
