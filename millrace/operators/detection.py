@@ -100,10 +100,15 @@ def consensus(votes: DataFrame, keys: list[str], method: str, percent: int = 50,
     return members.groupBy(*keys, "support").agg(*middle)
 
 
-def promotion(groups: DataFrame, hits: str, n: str, strategies: str, families: str, quality: str, min_n: int = 500, min_lower: float = 0.995, min_strategies: int = 3, min_families: int = 2, min_quality: float = 0.90) -> DataFrame:
-    """Adds lower (the Wilson bound) and promoted; anything missing fails."""
+def promotion(groups: DataFrame, hits: str, n: str, strategies: str, families: str, quality: str, min_n: int = 500, min_lower: float = 0.995, min_strategies: int = 3, min_families: int = 2, min_quality: float = 0.90, iou: str | None = None, dispersion: str | None = None, min_iou: float = 0.80, max_dispersion: float = 0.035) -> DataFrame:
+    """Adds lower (the Wilson bound) and promoted; anything missing fails. The least pairwise IoU and the edge dispersion
+    of a group count where their columns are named."""
     lower = wilson_lower(F.col(hits), F.col(n))
     passes = (F.col(n) >= min_n) & (lower >= min_lower) & (F.col(strategies) >= min_strategies) & (F.col(families) >= min_families) & (F.col(quality) >= min_quality)
+    if iou:
+        passes = passes & ~F.isnan(iou) & (F.col(iou) >= min_iou)
+    if dispersion:
+        passes = passes & ~F.isnan(dispersion) & (F.col(dispersion) <= max_dispersion)
     return groups.withColumn("lower", F.round(lower, 9)).withColumn("promoted", F.coalesce(passes, F.lit(False)))
 
 

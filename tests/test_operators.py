@@ -252,6 +252,14 @@ def test_detection(spark):
     assert ap == {0: pytest.approx(51 * 0.5 / 101, abs=1e-6), 1: 0.0}
 
 
+def test_promotion_needs_agreement(spark):
+    data = [("ok", 0.80, 0.035), ("iou", 0.79, 0.01), ("edge", 0.9, 0.036), ("none", None, 0.01), ("nan", float("nan"), 0.01)]
+    df = spark.createDataFrame(data, "g string, iou double, edge double")
+    for c, v in (("hits", 5000), ("n", 5000), ("s", 3), ("f", 2), ("q", 0.95)):
+        df = df.withColumn(c, F.lit(v))
+    assert {r.g for r in detection.promotion(df, "hits", "n", "s", "f", "q", iou="iou", dispersion="edge").collect() if r.promoted} == {"ok"}
+
+
 def test_eda(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, 5), (1, 3, None), (2, 1, None)], "g int, o int, v int")
     assert rows(eda.fill_along(df, "v", ["g"], ["o"]).select("g", "o", F.coalesce("v", F.lit(-1)))) == [(1, 1, -1), (1, 2, 5), (1, 3, 5), (2, 1, -1)]
