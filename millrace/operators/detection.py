@@ -43,12 +43,15 @@ def average_precision(curve: DataFrame, truth_counts: DataFrame, by: str) -> Dat
 
     Recalls are compared as integers: 100 * true positives against point * truth.
     """
-    best = curve.groupBy(by, "tps", "n_truth").agg(F.max("precision").alias("p"))
-    ahead = best.withColumn("p", F.max("p").over(Window.partitionBy(by).orderBy("tps").rowsBetween(0, Window.unboundedFollowing)))
-    # Point k is reached by the first count of true positives that is at least k * truth / 100.
-    prior = F.coalesce(F.lag("tps").over(Window.partitionBy(by).orderBy("tps")), F.lit(-1))
-    reach = lambda tps: F.floor(100 * tps / F.col("n_truth"))
-    span = ahead.withColumn("__points", reach(F.col("tps")) - F.when(prior < 0, F.lit(-1)).otherwise(reach(prior)))
+    # Only the counts that first reach a recall point or lie beyond it matter: a class has at most 101 rows from here on.
+    reached = F.floor(100 * F.col("tps") / F.col("n_truth"))
+    best = curve.where("n_truth > 0").groupBy(by, reached.alias("__reach")).agg(F.max("precision").alias("p"))
+    # Falling recall with the running maximum so far, in place of a look ahead from each row.
+    ahead = Window.partitionBy(by).orderBy(F.desc("__reach"))
+    beyond = best.withColumn("p", F.max("p").over(ahead.rowsBetween(Window.unboundedPreceding, 0)))
+    # Point k takes the row of the least reach that is at least k.
+    prior = F.coalesce(F.lead("__reach").over(ahead), F.lit(-1))
+    span = beyond.withColumn("__points", F.least(F.col("__reach"), F.lit(100)) - prior)
     ap = span.groupBy(by).agg((F.sum(F.col("p") * F.col("__points")) / 101).alias("__ap"))
     return truth_counts.join(ap, by, "left").select(by, "n_truth", F.round(F.coalesce("__ap", F.lit(0.0)), 6).alias("ap"))
 

@@ -31,11 +31,9 @@ def fill_value(df: DataFrame, column: str, how: str = "median") -> DataFrame:
 
 def fill_along(df: DataFrame, column: str, by: list[str], order: list[str], backward: bool = False) -> DataFrame:
     """Nulls replaced by the last known value before (or the next after) within a key."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    if backward:
-        value = F.first(column, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    else:
-        value = F.last(column, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    turn = F.desc if backward else F.asc
+    so_far = Window.partitionBy(*by).orderBy(*[turn(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    value = F.last(column, ignorenulls=True).over(so_far)
     return df.withColumn(column, value)
 
 
