@@ -45,18 +45,34 @@ PIVOTS = 32
 U = np.uint64
 
 
-def shingle_sets(col: pa.Array, size: int = 5) -> list[np.ndarray]:
-    """The sorted distinct shingle names of each text: A-Z lowered, words by white space, whole text if shorter."""
+def _shingles(col: pa.Array, size: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Names of all shingles of a batch in two lanes, and where each row's begin."""
     data, offsets = vec.utf8(col)
     starts, ends, before = vec.words(data, offsets)
-    names = vec.word_names(data, starts, ends, lower=True)
     counts = np.diff(before)
     room = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     first = vec.ragged(before[:-1], room)
-    width = np.repeat(np.minimum(counts, size), room)
-    shingles = vec.span_names(names, first, first + width, 5)
-    cuts = np.concatenate([[0], np.cumsum(room)])
-    return [np.unique(shingles[cuts[k] : cuts[k + 1]]) for k in range(len(counts))]
+    last = first + np.repeat(np.minimum(counts, size), room)
+    lanes = vec.wide_names(data, starts, ends, lower=True)
+    return [vec.span_names(names, first, last, 5 + lane) for lane, names in enumerate(lanes)], np.concatenate([[0], np.cumsum(room)]), room
+
+
+def shingle_sets(col: pa.Array, size: int = 5) -> list[np.ndarray]:
+    """The sorted distinct shingle names of each text: A-Z lowered, words by white space, whole text if shorter."""
+    (shingles, _), cuts, _ = _shingles(col, size)
+    return [np.unique(shingles[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _named_sets(col: pa.Array, size: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The sets, and two names of each: a sum over its shingles, and the ends of their other lane."""
+    (shingles, other), cuts, room = _shingles(col, size)
+    sets = [np.unique(shingles[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    name1 = np.array([vec.mix(s, 21).sum(dtype=U) for s in sets], U)
+    name2, full = np.zeros(len(sets), U), np.flatnonzero(room)
+    if len(full):
+        low, high = (f.reduceat(other, cuts[full]) for f in (np.minimum, np.maximum))
+        name2[full] = vec.mix(vec.mix(low, 22) ^ high, 23)
+    return sets, name1.view(np.int64), name2.view(np.int64)
 
 
 def sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
@@ -92,20 +108,19 @@ def band_keys(sets: list[np.ndarray], percent: int) -> np.ndarray:
 def _mark(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column(0), size)
+            sets, name1, name2 = _named_sets(batch.column(0), size)
             n = np.array([len(s) for s in sets])
             # A set of n shingles cannot reach the threshold with a different set unless n / (n + 1) does.
             able = np.flatnonzero(100 * n >= percent * (n + 1))
             keys = np.empty(len(sets), object)
             for k, row in zip(able, band_keys([sets[k] for k in able], percent).view(np.int64), strict=True):
                 keys[k] = row
-            sums = [np.array([vec.mix(s, salt).sum(dtype=U) for s in sets], U).view(np.int64) for salt in (21, 22)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1),
                     pa.array(n, pa.int64()),
-                    pa.array(sums[0], pa.int64()),
-                    pa.array(sums[1], pa.int64()),
+                    pa.array(name1),
+                    pa.array(name2),
                     pa.array([[] if k is None else k for k in keys], pa.list_(pa.int64())),
                 ],
                 names=["uid", "n", "name1", "name2", "keys"],

@@ -8,11 +8,13 @@ every document and partition - without a dictionary to shuffle.
 Each symbol carries the range of words that its existence depends on (its own words plus the neighbours that
 the rounds looked at). For every window of `window` words the anchor is the least name of such a range lying
 within the window, at the highest level that has any; words themselves are level 0, so every window has an anchor, and
-equal windows have equal anchors. Only windows whose anchor occurs elsewhere can repeat: these are verified by the
-name of their whole word sequence (with the anchor's, 128 bits of independent names), again over the whole corpus.
+equal windows have equal anchors. Only windows whose anchor occurs elsewhere can repeat: these are verified over the
+whole corpus by two independent 64-bit names of their word sequence, made from two independent names of each word, so
+that 128 bits must agree before a word goes.
 
-Both passes over the corpus exchange sorted names in hash buckets: a chunk of documents sends a name once, with
-a mark if it holds it more often, so a passage that fills a third of the corpus is one entry per chunk.
+Both passes over the corpus exchange sorted names in hash buckets: a chunk of documents sends a name once, with a mark
+if it holds it more often. Chunks meet in groups of at most FAN, and only the groups' distinct names meet in the bucket,
+so a passage that every chunk holds is one entry per group there.
 
 Words are [^\\x20\\x09-\\x0D]+. Nulls: a null text has no words; a null id stays null. Repeated rows count as
 occurrences of each other's windows. Empty tables give empty results; texts shorter than the window lose nothing.
@@ -35,8 +37,8 @@ from .common import Scratch, slices
 ROUNDS = 4
 #: Rounds that also name runs; a run needs both neighbours to be known, so these cost range.
 RUN_ROUNDS = (0,)
-#: Bytes of text in a chunk, and names in a bucket.
-CHUNK, BUCKET = 1 << 19, 1 << 20
+#: Bytes of text in a chunk, names in a bucket, and chunks in a group.
+CHUNK, BUCKET, FAN = 1 << 19, 1 << 20, 4096
 U = np.uint64
 
 
@@ -94,7 +96,7 @@ class Windows:
         self.data, self.offsets = vec.utf8(col)
         self.starts, self.ends, self.before = vec.words(self.data, self.offsets)
         counts = np.diff(self.before)
-        names = vec.word_names(self.data, self.starts, self.ends)
+        names, self.other = vec.wide_names(self.data, self.starts, self.ends)
         names[names == 0] = U(1)
         rows = np.repeat(np.arange(len(counts)), counts)
         # Token positions have a separator (symbol 0) before, between and after the rows.
@@ -116,13 +118,15 @@ class Windows:
                 if r in RUN_ROUNDS:
                     level = _name_runs(*level, salt=3 * r + 1)
                 levels.append(_name_pairs(*level, salt=3 * r + 2))
+        spans = vec.Spans(tokens)
         anchors, occurrences, open_ = np.zeros(len(at), U), np.zeros(len(at), np.int64), np.arange(len(at))
         for r in range(len(levels) - 1, -1, -1):
             sym, lo, hi = levels[r]
             first = np.searchsorted(lo, at[open_])
             last = np.searchsorted(hi, at[open_] + self.window, side="right")
             fits = first < last
-            names = vec.span_names(tokens, lo, hi, 100 + r)
+            names, short = np.zeros(len(sym), U), hi - lo <= self.window  # longer ranges lie in no window
+            names[short] = spans.names(lo[short], hi[short], 100 + r)
             i = _least(names, first[fits], last[fits])
             anchors[open_[fits]], occurrences[open_[fits]] = names[i], (np.int64(r) << 40) | i
             open_ = open_[~fits]
@@ -134,17 +138,22 @@ class Windows:
         return self.anchors[one]
 
     def sequences(self, which: np.ndarray) -> np.ndarray:
-        """Names of the whole word sequences of the windows, with their anchors."""
+        """Two names of the whole word sequence of each window."""
         first = self.first[which]
-        return vec.mix(vec.span_names(self.names, first, first + self.window, 7) ^ vec.mix(self.anchors[which], 9), 11)
+        return np.column_stack([vec.span_names(lane, first, first + self.window, salt) for lane, salt in ((self.names, 7), (self.other, 8))])
 
 
 def distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct names, whether each occurs more than once, and the place of every input among them."""
-    if not len(names):
-        return names, np.zeros(0, bool), np.zeros(0, np.int64)
-    found, place, count = np.unique(names, return_inverse=True, return_counts=True)
-    return found, count > 1, place
+    """Sorted distinct names (rows of one or two columns), whether each occurs more than once, and the place of every
+    input among them."""
+    order = np.lexsort(names.T[::-1])
+    ranked = names[order]
+    new = np.ones(len(names), bool)
+    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    place = np.empty(len(names), np.int64)
+    place[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return ranked[first], np.diff(first, append=len(names)) > 1, place
 
 
 _NAMES = "chunk long, names binary, again binary"
@@ -168,51 +177,75 @@ def _mark_anchors(window: int):
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
                 writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.columns], schema=batch.schema))
             found = Windows(batch.column(1), window)
-            yield _names_batch(chunk, found.marks(), (sink.getvalue().to_pybytes(), len(found.first)))
+            yield _names_batch(chunk, found.marks()[:, None], (sink.getvalue().to_pybytes(), len(found.first)))
             chunk += 1
 
     return run
 
 
-def shared_names(marks: DataFrame, n_names: int) -> DataFrame:
+def _sent(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of names: the sorted distinct names, whether each occurs more than once in all, and every entry's place."""
+    names = np.frombuffer(b"".join(table["names"].to_pylist()), U).reshape(-1, width)
+    sizes = [len(x) // (8 * width) for x in table["names"].to_pylist()]
+    again = [np.unpackbits(np.frombuffer(x, np.uint8))[:n] for x, n in zip(table["again"].to_pylist(), sizes, strict=True)]
+    found, more, place = distinct(names)
+    more |= np.bincount(place, np.concatenate(again), len(found)) > 0
+    return found, more, place
+
+
+def _answers(table: pa.Table, bits: np.ndarray, width: int) -> pa.Table:
+    """A row for each row of names, with a bit for each name."""
+    sizes = np.array([len(x) // (8 * width) for x in table["names"].to_pylist()], np.int64)
+    cut = [np.packbits(x).tobytes() for x in np.split(bits, np.cumsum(sizes)[:-1])]
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": pa.array(sizes, pa.int32()), "bits": pa.array(cut, pa.binary())})
+
+
+def shared_names(marks: DataFrame, n_names: int, n_chunks: int, scratch: Scratch, width: int) -> DataFrame:
     """For every chunk and bucket of its names: a bit for each, set if the name occurs elsewhere too."""
     bits = max(0, int(np.ceil(np.log2(max(1, n_names / BUCKET)))))
+    n_groups = -(-n_chunks // FAN)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                names = np.frombuffer(row["names"], U)
+                names = np.frombuffer(row["names"], U).reshape(-1, width)
                 again = np.unpackbits(np.frombuffer(row["again"], np.uint8))[: len(names)]
-                bucket = (names >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
-                at = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-                full = np.flatnonzero(np.diff(at))
-                cut = [(int(b), slice(at[b], at[b + 1])) for b in full]
+                bucket = (names[:, 0] >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(names), np.int64)
+                at = np.searchsorted(bucket, np.arange((1 << bits) + 1)) if bits < 12 else np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+                cut = [(int(bucket[x]), slice(x, y)) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) if x < y]
+                group = int(vec.mix(np.array([row["chunk"]], np.int64).view(U))[0] % U(max(1, n_groups)))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "bucket": pa.array([b for b, _ in cut], pa.int32()),
+                        "part": pa.array([group] * len(cut), pa.int32()),
                         "chunk": pa.array([row["chunk"]] * len(cut), pa.int64()),
                         "names": pa.array([names[s].tobytes() for _, s in cut], pa.binary()),
                         "again": pa.array([np.packbits(again[s]).tobytes() for _, s in cut], pa.binary()),
                     }
                 )
 
-    def merge(group: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(x, U) for x in group["names"].to_pylist()]
-        size = [len(x) for x in sent]
-        again = [np.unpackbits(np.frombuffer(x, np.uint8))[:n] for x, n in zip(group["again"].to_pylist(), size, strict=True)]
-        names, more = np.concatenate(sent), np.concatenate(again).astype(bool)
-        order = np.argsort(names, kind="stable")
-        ranked = names[order]
-        equal = np.zeros(len(names) + 1, bool)
-        equal[1:-1] = ranked[1:] == ranked[:-1]
-        shared = np.zeros(len(names), bool)
-        shared[order] = equal[1:] | equal[:-1]
-        ends = np.cumsum(size)
-        found = [np.packbits((shared | more)[e - n : e]).tobytes() for e, n in zip(ends, size, strict=True)]
-        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "n": pa.array(size, pa.int32()), "bits": pa.array(found, pa.binary())})
-
-    dealt = marks.select("chunk", "names", "again").mapInArrow(deal, "bucket int, chunk long, names binary, again binary")
-    return dealt.groupBy("bucket").applyInArrow(merge, "chunk long, bucket int, n int, bits binary")
+    def answer(group: pa.Table) -> pa.Table:
+        _, more, place = _sent(group, width)
+        return _answers(group, more[place], width)
+
+    def condense(group: pa.Table) -> pa.Table:
+        found, more, _ = _sent(group, width)
+        sent = {"names": pa.array([found.tobytes()], pa.binary()), "again": pa.array([np.packbits(more).tobytes()], pa.binary())}
+        return pa.table({"bucket": group["bucket"][:1], "chunk": group["part"][:1].cast(pa.int64())} | sent)
+
+    def spread(group: pa.Table, told: pa.Table) -> pa.Table:
+        _, more, place = _sent(group, width)
+        whole = np.unpackbits(np.frombuffer(told["bits"][0].as_py(), np.uint8))[: len(more)].astype(bool)
+        return _answers(group, whole[place], width)
+
+    kind = "chunk long, bucket int, n int, bits binary"
+    dealt = marks.select("chunk", "names", "again").mapInArrow(deal, "bucket int, part int, chunk long, names binary, again binary")
+    if n_groups <= 1:
+        return dealt.groupBy("bucket").applyInArrow(answer, kind)
+    dealt = scratch.cut(dealt, f"dealt{width}")
+    groups = dealt.groupBy("bucket", "part").applyInArrow(condense, "bucket int, chunk long, names binary, again binary")
+    told = groups.groupBy("bucket").applyInArrow(answer, kind).select("bucket", F.col("chunk").cast("int").alias("part"), "bits")
+    return dealt.groupBy("bucket", "part").cogroup(told.groupBy("bucket", "part")).applyInArrow(spread, kind)
 
 
 def _replies(shared: DataFrame, name: str) -> DataFrame:
@@ -233,7 +266,7 @@ def _unpack(payload: bytes) -> pa.RecordBatch:
 def _candidates(row: dict, window: int) -> tuple[pa.RecordBatch, Windows, np.ndarray]:
     batch = _unpack(row["payload"])
     found = Windows(batch.column(1), window)
-    _, _, place = distinct(found.anchors)
+    _, _, place = distinct(found.anchors[:, None])
     bits = _bits(row["anchors"])
     return batch, found, np.flatnonzero(bits[place]) if len(place) else np.zeros(0, np.int64)
 
@@ -301,11 +334,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     id_field = own.schema["doc_id"]
     chunks = scratch.cut(own.mapInArrow(_mark_anchors(window), "chunk long, payload binary, n_windows long, names binary, again binary"), "chunks")
-    n_anchors, n_windows = chunks.agg(F.coalesce(F.sum(F.octet_length("names") / 8), F.lit(0)), F.coalesce(F.sum("n_windows"), F.lit(0))).first()
-    anchors = _replies(shared_names(chunks, n_anchors), "anchors")
+    sizes = F.coalesce(F.sum(F.octet_length("names") / 8), F.lit(0)), F.coalesce(F.sum("n_windows"), F.lit(0)), F.count(F.lit(1))
+    n_anchors, n_windows, n_chunks = chunks.agg(*sizes).first()
+    anchors = _replies(shared_names(chunks, n_anchors, n_chunks, scratch, 1), "anchors")
     armed = chunks.select("chunk", "payload").join(anchors, "chunk", "left")
     marks = armed.mapInArrow(_verify(window), _NAMES)
-    sequences = _replies(shared_names(marks, n_windows), "sequences")
+    sequences = _replies(shared_names(marks, n_windows, n_chunks, scratch, 2), "sequences")
     out = StructType(
         [
             StructField("doc_id", id_field.dataType),

@@ -77,8 +77,9 @@ def brute_removed(texts, window):
     return [(len(w), sum(g), b" ".join(x for x, y in zip(w, g, strict=True) if not y).decode()) for w, g in zip(split, gone, strict=True)]
 
 
-@pytest.mark.parametrize("window", [5, 35])
-def test_substring(docs, rows, window, monkeypatch):
+@pytest.mark.parametrize(("window", "fan"), [(5, 2), (35, 4096)])
+def test_substring(docs, rows, window, fan, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "FAN", fan)
     monkeypatch.setattr(substring_dedup, "CHUNK", 4096)
     monkeypatch.setattr(substring_dedup, "BUCKET", 256)
     got = {r.doc_id: r for r in substring_dedup.substring_dedup(docs, window=window).collect()}
@@ -87,6 +88,33 @@ def test_substring(docs, rows, window, monkeypatch):
     assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in got.values())
 
 
+def thue_morse(n, letters):
+    return "".join(letters[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_words_of_one_structure_keep_their_names(spark):
+    """Thue-Morse words and their complements agree in every sum of powers modulo a power of two."""
+    one, two = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    texts = [" ".join(f"w{k}" for k in range(34)) + " " + x for x in (one, two)] + [one, two, thue_morse(200, "ab"), thue_morse(200, "ba")]
+    texts += [" ".join(thue_morse(64, x)) for x in ("ab", "ba")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(docs, window=35).collect()}
+    assert got == {k: n for k, (_, n, _) in enumerate(brute_removed(texts, 35))} and not any(got.values())
+    _, found = minhash.near_groups(docs)
+    assert {r.doc_id: (r.n, r.component_id) for r in found.collect()} == brute_groups(list(enumerate(texts)), 85)
+
+
+def test_span_names():
+    rng = np.random.Generator(np.random.PCG64(2))
+    values = rng.integers(0, 3, 300).astype(np.uint64)
+    starts = rng.integers(0, 300, 4000)
+    ends = np.minimum(300, starts + rng.integers(0, 40, 4000))
+    names, by = vec.span_names(values, starts, ends, 3), {}
+    for a, b, name in zip(starts, ends, names.tolist(), strict=True):
+        by.setdefault(name, set()).add(tuple(values[a:b].tolist()))
+    assert all(len(x) == 1 for x in by.values()) and len(by) == len({tuple(values[a:b].tolist()) for a, b in zip(starts, ends, strict=True)})
+
+
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(3)
     for _ in range(40):
