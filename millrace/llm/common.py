@@ -49,6 +49,18 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Column names that clash with none of `columns` (as Spark compares them): the given ones, where taken with more
+    underscores in front."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Batches cut into runs of whole rows of about `limit` bytes of `text`; a longer text stands alone."""
     for batch in batches:

@@ -10,8 +10,8 @@ so the copies of one text are never joined on the digest alone.
 Digests are verified at every level by the byte length and an independent 64-bit hash beside SHA-256.
 
 Nulls: a null text counts as empty; a null identifier is smaller than any other. Ties: of rows equal in text
-and identifier exactly one is kept. Empty tables give empty results. Columns of the input whose names clash
-with result columns do not matter: only the two named columns are read.
+and identifier exactly one is kept. Empty tables give empty results. Other columns of the input, whatever their
+names, are not read by `exact_groups` and come back unchanged from `exact_dedup`.
 """
 
 from __future__ import annotations
@@ -21,14 +21,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, fresh
 
 #: What must agree for two texts to be called equal.
 PROOF = ["digest", "n_bytes", "check_hash"]
 
 
 def _digest(text: str) -> list:
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     return [F.unhex(F.sha2(body, 256)).alias("digest"), F.octet_length(body).alias("n_bytes"), F.xxhash64(body).alias("check_hash")]
 
 
@@ -37,7 +37,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scratch = Scratch(docs.sparkSession, "exact")
     runs = scratch.cut(
         docs.select(
-            F.col(id_col).alias("doc_id"), *_digest(text_col), F.spark_partition_id().alias("run"), F.monotonically_increasing_id().alias("uid")
+            F.col(f"`{id_col}`").alias("doc_id"), *_digest(text_col), F.spark_partition_id().alias("run"), F.monotonically_increasing_id().alias("uid")
         ),
         "runs",
     )
@@ -71,12 +71,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    key, none, nth, *proof = fresh(docs.columns, "__key", "__none", "__nth", *[f"__{c}" for c in PROOF])
+    keys = [key, none, *proof]
     # Plain keys, so that the join's partitioning serves the window too and texts move once.
-    key = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias("__key"), c.isNull().alias("__none")]
-    own = [c.alias(f"__{n}") for c, n in zip(_digest(text_col), PROOF, strict=True)]
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(*key(F.col("doc_id")), *[F.col(c).alias(f"__{c}") for c in PROOF])
-    keys = ["__key", "__none", *[f"__{c}" for c in PROOF]]
-    stay = docs.select(*columns, *key(F.col(f"`{id_col}`")), *own).join(kept, keys, "left_semi")
+    named = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias(key), c.isNull().alias(none)]
+    own = [c.alias(name) for c, name in zip(_digest(text_col), proof, strict=True)]
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(*named(F.col("doc_id")), *[F.col(c).alias(name) for c, name in zip(PROOF, proof, strict=True)])
+    stay = docs.select(*columns, *named(F.col(f"`{id_col}`")), *own).join(kept, keys, "left_semi")
     # Rows equal in identifier and text cannot be told apart by the join; one of them stays.
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("__key"))
-    return stay.withColumn("__nth", nth).where("__nth = 1").select(*columns)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(key))
+    return stay.withColumn(nth, first).where(F.col(nth) == 1).select(*columns)

@@ -12,15 +12,17 @@ Stages, all over the whole table:
 3. Within each neighbourhood the links are confirmed on full sets, by breadth-first search over texts not yet
    reached: a set must share one of its (1 - threshold) rarest shingles with any set it links to. Only a spanning
    forest is emitted. A neighbourhood beyond BLOCK shingles is dealt over blocks which share some members as
-   pivots; afterwards every member outside its largest group is compared with all other members, in blocks.
-4. The confirmed forests' connected components are the groups.
+   pivots, each text once but for the pivots. What it still lacks are links between texts that share a band but no
+   group: of its bands, those that hold texts of several groups are confirmed each for itself (bands of equal members
+   once); a band beyond a block compares its members outside the largest group with all its members, in blocks.
+4. The confirmed forests' connected components are the groups; unconfirmed collisions never join two texts.
 
 Only stage 2 is probabilistic: with 40 bands of 7 a pair at similarity 0.85 shares no band with probability 2e-7;
 with 48 bands of 6, a pair at 0.8 with probability 5e-7.
 
 Nulls and texts without words: an empty set, linked with nothing, a group of its own. A null id is never the
 least id; a group without ids has a null component_id. Repeated rows are copies. Empty tables give empty results.
-Columns of the input keep their names and do not clash, since only id and text are read.
+Columns of the input keep their names, whatever they are: the operator's own take other names.
 """
 
 from __future__ import annotations
@@ -29,19 +31,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .common import Scratch, concurrency, slices
+from .common import Scratch, concurrency, fresh, slices
 from .graph import components
 
 #: Bands and rows of a band, by the least similarity (in percent) that they are meant for.
 BANDS = {85: (40, 7), 0: (48, 6)}
 #: Shingles of a neighbourhood that one task confirms at once; larger ones are dealt over blocks.
-BLOCK = 1 << 21
-#: Pivots that the blocks of a large neighbourhood share.
-PIVOTS = 32
+BLOCK = 1 << 17
+#: Pivots that the blocks of a large neighbourhood share. Blocks hold twice as many texts at least, unless these have
+#: FEW_LARGE blocks' worth of shingles.
+PIVOTS, FEW_LARGE = 32, 16
 U = np.uint64
 
 
@@ -246,14 +249,26 @@ def _compare(size: int, percent: int):
     return run
 
 
+def _n_blocks(shingles: Column, members: Column) -> Column:
+    """Blocks of a neighbourhood or band: by its shingles, but a few long texts stay together unless they are very long."""
+    dealt = F.least(F.ceil(shingles / F.lit(BLOCK)), F.ceil(members / F.lit(2 * PIVOTS)))
+    return F.greatest(dealt, F.ceil(shingles / F.lit(BLOCK * FEW_LARGE))).cast("int")
+
+
+def _numbers(n: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(base, found): base has the columns of `docs` and __uid; found has uid, doc_id, n, component_id, chosen."""
+    """(base, found): base has the columns of `docs` and, as its last, a row number; found has uid (that number), doc_id,
+    n, component_id, chosen."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
-    base = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.monotonically_increasing_id().alias("__uid")), "base")
-    texts = base.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col("__uid").alias("uid"))
+    (own,) = fresh(docs.columns, "__uid")
+    base = scratch.cut(docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.monotonically_increasing_id().alias(own)), "base")
+    texts = base.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(own).alias("uid"))
     marks = scratch.cut(texts.mapInArrow(_mark(size, percent), "uid long, n long, name1 long, name2 long, keys array<long>"), "marks")
-    ids = base.select(F.col("__uid").alias("uid"), F.col(f"`{id_col}`").alias("doc_id"))
+    ids = base.select(F.col(own).alias("uid"), F.col(f"`{id_col}`").alias("doc_id"))
     classes = scratch.cut(marks.where("n > 0").groupBy("n", "name1", "name2").agg(F.min("uid").alias("class")), "classes")
 
     keyed = marks.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi").select(F.explode("keys").alias("key"), "uid")
@@ -265,40 +280,50 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     sized = neighbourhood.join(marks.select(F.col("uid").alias("node"), "n"), "node")
     hoods = sized.groupBy(F.col("root").alias("hood")).agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("m"))
-    hoods = hoods.withColumn("blocks", F.ceil(F.col("all_n") / F.lit(BLOCK)).cast("int"))
+    hoods = hoods.withColumn("blocks", _n_blocks(F.col("all_n"), F.col("m")))
     members = neighbourhood.select(F.col("node").alias("uid"), F.col("root").alias("hood")).join(hoods, "hood")
     members = scratch.cut(members.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks").cast("long"))), "members")
     large = members.where("blocks > 1")
     pivots = large.where(F.pmod(F.xxhash64("uid", F.lit(1)), F.ceil(F.col("m") / F.lit(PIVOTS)).cast("long")) == 0)
-    guests = pivots.select("uid", "hood", F.col("block").alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"))
+    guests = pivots.select("uid", "hood", F.col("block").alias("own"), _numbers(F.col("blocks")).alias("block"))
     placed = members.select("uid", "hood", "block").union(guests.where("block <> own").select("uid", "hood", "block"))
     confirmed = placed.join(texts, "uid").groupBy("hood", "block").applyInArrow(_confirm(size, percent), "a long, b long")
     links = scratch.cut(confirmed, "links")
-    if large.isEmpty():
-        groups = links.select(F.col("a").alias("class"), F.col("b").alias("root"))
-    else:
-        groups = _finish_large(links, members, texts, scratch, size, percent)
-    return base, _found(marks, classes, ids, groups, scratch)
-
-
-def _finish_large(links: DataFrame, members: DataFrame, texts: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
-    joined = components(links, scratch, "links")
-    own = members.join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    own = scratch.cut(own, "own")
-    large = own.where("blocks > 1")
-    per_root = large.groupBy("hood", "root").agg(F.count(F.lit(1)).alias("k"))
-    main = per_root.groupBy("hood").agg(F.max(F.struct("k", "root")).alias("main")).select("hood", F.col("main.root").alias("main"))
-    rest = large.join(main, "hood").where("root <> main").join(texts.select(F.col("uid").alias("u"), F.octet_length("text").alias("bytes")), F.col("uid") == F.col("u"))
-    shares = rest.groupBy("hood").agg(F.ceil(F.sum("bytes") / F.lit(4.0 * BLOCK)).cast("int").alias("parts"))
-    rest = scratch.cut(rest.join(shares, "hood").select("uid", "hood", "root", "blocks", "parts"), "rest")
+    if not large.isEmpty():
+        links = links.union(_across(links, large, marks, texts, scratch, size, percent))
+    groups = components(links, scratch, "links")
+    return base, _found(marks, classes, ids, groups.select(F.col("node").alias("class"), "root"), scratch)
+
+
+def _across(links: DataFrame, large: DataFrame, marks: DataFrame, texts: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
+    """The links that the blocks of large neighbourhoods could not see: between texts that share a band but no group yet."""
+    joined = components(links, scratch, "blocks")
+    own = large.select("uid").join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    own = scratch.cut(own.join(marks.select("uid", "n", "keys"), "uid"), "own")
+    banded = own.select(F.explode("keys").alias("key"), "uid", "n", "root")
+    of_key = banded.groupBy("key").agg(
+        F.min("root").alias("r1"), F.max("root").alias("r2"), F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.bit_xor(F.xxhash64("uid", F.lit(5))).alias("y")
+    )
+    split = of_key.where("r1 <> r2").groupBy("m", "all_n", "x", "y").agg(F.min("key").alias("key"))
+    split = scratch.cut(split.select("key", _n_blocks(F.col("all_n"), F.col("m")).alias("blocks")), "split")
+    held = scratch.cut(banded.join(split, "key").select("key", "uid", "root", "blocks"), "held")
+    small = held.where("blocks = 1").select("key", "uid").join(texts, "uid")
+    found = scratch.cut(small.groupBy("key").applyInArrow(_confirm(size, percent), "a long, b long"), "small")
+    wide = held.where("blocks > 1")
+    if wide.isEmpty():
+        return found
+    per_root = wide.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
+    main = per_root.groupBy("key").agg(F.max(F.struct("k", "root")).alias("main")).select("key", F.col("main.root").alias("main"))
+    sizes = marks.select("uid", "n")
+    rest = wide.join(main, "key").where("root <> main").join(sizes, "uid")
+    parts = rest.groupBy("key").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).cast("int").alias("parts"))
+    rest = scratch.cut(rest.join(parts, "key").select("uid", "key", "root", "blocks", "parts"), "rest")
     part = F.pmod(F.xxhash64("uid", F.lit(2)), F.col("parts").cast("long")).alias("part")
-    outside = rest.select("uid", "hood", "root", part, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), F.lit(True).alias("outside"))
-    others = large.join(shares, "hood").select("uid", "hood", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part"), "block", F.lit(False).alias("outside"))
-    placed = outside.union(others).join(texts, "uid")
-    more = scratch.cut(placed.groupBy("hood", "block", "part").applyInArrow(_compare(size, percent), "a long, b long"), "more")
-    again = components(more, scratch, "more")
-    final = own.join(again.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left")
-    return final.select(F.col("uid").alias("class"), F.coalesce("last", "root").alias("root"))
+    block = F.pmod(F.xxhash64("uid", F.lit(3)), F.col("blocks").cast("long")).alias("block")
+    outside = rest.select("uid", "key", "root", part, _numbers(F.col("blocks")).alias("block"), F.lit(True).alias("outside"))
+    others = wide.join(parts, "key").select("uid", "key", "root", _numbers(F.col("parts")).alias("part"), block, F.lit(False).alias("outside"))
+    compared = outside.union(others).join(texts, "uid").groupBy("key", "block", "part").applyInArrow(_compare(size, percent), "a long, b long")
+    return found.union(scratch.cut(compared, "wide"))
 
 
 def _found(marks: DataFrame, classes: DataFrame, ids: DataFrame, groups: DataFrame, scratch: Scratch) -> DataFrame:
@@ -314,4 +339,5 @@ def _found(marks: DataFrame, classes: DataFrame, ids: DataFrame, groups: DataFra
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
     """The rows of `docs` that stay, one of each group (the least id), with all their columns."""
     base, found = near_groups(docs, id_col, text_col, size, percent)
-    return base.join(found.where("chosen").select(F.col("uid").alias("__uid")), "__uid", "left_semi").drop("__uid")
+    own = base.columns[-1]
+    return base.join(found.where("chosen").select(F.col("uid").alias(own)), own, "left_semi").drop(own)
