@@ -2,25 +2,28 @@
 
 A document's words vote, by hashed signs, on DIMS coordinates; the Hilbert index of these coordinates orders the
 corpus, so that neighbours in a sequence are alike. The key is the index followed by bits of the identifier's
-hash, which spreads equal texts over several parts. Parts are cut at quantiles of the key; within a part documents
-are sorted by key and laid end to end, parts follow each other, and the stream is cut every `size` tokens. Only
-the part totals meet at the driver. All sequences are full but the last one.
+hash, which spreads equal texts over several parts. Documents are range-sorted by key into parts of about PART tokens and
+laid end to end, parts follow each other, and the stream is cut every `size` tokens. Only the part totals, a row for
+each PART tokens, are broadcast. All sequences are full but the last one.
 
-Three passes read the input: keys, tokens, and pieces from the written, sorted tokens.
+Texts are read once, for tokens and keys together; these are written, sorted, and cut into pieces.
+
+Tokens are those of the vocabulary's JSON file as the `tokenizers` library reads it: the strings of its added tokens are
+these tokens wherever they stand in a text, and no other token is added but the end token.
 
 Nulls: a null text is empty, a null id stays null. An empty text is its end token alone. Repeated rows are packed
-each for itself. Empty tables give empty results. A text is held whole by one task.
+each for itself. Empty tables give empty results. Only the two named columns are read, so other columns of any name do
+not matter. A text is held whole by one task.
 """
 
 from __future__ import annotations
 
-import bisect
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,8 +31,8 @@ from . import vec
 from .common import Scratch, concurrency, slices
 
 DIMS, BITS = 4, 10
-#: Low bits of a key that come from the identifier.
-TIE_BITS = 23
+#: Low bits of a key that come from the identifier, and tokens of a part.
+TIE_BITS, PART = 23, 1 << 25
 U = np.uint64
 
 
@@ -76,11 +79,6 @@ def curve_keys(col: pa.Array) -> np.ndarray:
     return hilbert(np.clip((point + 4) / 8 * cells, 0, cells - 1).astype(np.int64), BITS)
 
 
-def _key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        yield pa.RecordBatch.from_arrays([pa.array(_whole_keys(batch))], names=["key"])
-
-
 def _whole_keys(batch: pa.RecordBatch) -> np.ndarray:
     return (curve_keys(batch.column(1)) << TIE_BITS) | batch.column(2).to_numpy()
 
@@ -89,16 +87,19 @@ _encoders: dict[str, object] = {}
 
 
 def encoder(vocabulary: str):
-    """The byte-level BPE of a public vocabulary file of ranks, once per process."""
+    """The byte-level BPE of a public vocabulary, once per process: its ranks file with the added tokens of its JSON file."""
     if vocabulary not in _encoders:
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
 
-        with open(public_tokenizers.path(vocabulary), "rb") as lines:
+        with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _encoders[vocabulary] = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as file:
+            added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+        _encoders[vocabulary] = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _encoders[vocabulary]
 
 
@@ -108,102 +109,100 @@ LONG_SPACE = 100_000
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
-def encode(encoding, text: str, longest: int = LONG_SPACE) -> list[int]:
+def encode(encoding, text: str, longest: int = LONG_SPACE) -> np.ndarray:
     """The tokens of a text of any length. The pattern takes a run of white space as one piece, but for its last
-    character when more text follows; runs over `longest` are cut out in the same way."""
+    character when more text follows; runs over `longest` are cut out in the same way, between added tokens."""
     if len(text) <= longest:
-        return encoding.encode_ordinary(text)
-    ids, done = [], 0
-    for run in re.finditer(f"(?<!{SPACE}){SPACE}{{{longest + 1},}}", text):
-        end = run.end() - (run.end() < len(text))
-        ids += encoding.encode_ordinary(text[done : run.start()])
-        ids += encoding._encode_single_piece(text[run.start() : end])
-        done = end
-    return ids + encoding.encode_ordinary(text[done:])
-
-
-def _tokenize(vocabulary: str, end_id: int, bounds: list[int]):
+        return encoding.encode_to_numpy(text, allowed_special="all")
+    ids: list[int] = []
+    for k, part in enumerate(re.split("(" + "|".join(map(re.escape, encoding.special_tokens_set)) + ")", text) if encoding.special_tokens_set else [text]):
+        if k % 2:
+            ids.append(encoding.encode_single_token(part))
+            continue
+        done = 0
+        for run in re.finditer(f"(?<!{SPACE}){SPACE}{{{longest + 1},}}", part):
+            end = run.end() - (run.end() < len(part))
+            ids += encoding.encode_ordinary(part[done : run.start()])
+            ids += encoding._encode_single_piece(part[run.start() : end])
+            done = end
+        ids += encoding.encode_ordinary(part[done:])
+    return np.array(ids, np.uint32)
+
+
+def _kind(vocabulary: str, end_id: int) -> type:
+    """Tokens are written in two bytes where all of the vocabulary fit."""
+    return np.uint16 if max(encoder(vocabulary).n_vocab, end_id + 1) <= 1 << 16 else np.uint32
+
+
+def _tokenize(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = encoder(vocabulary)
+        encoding, kind = encoder(vocabulary), _kind(vocabulary, end_id)
         for batch in slices(batches, "text"):
-            ids = [np.array([*encode(encoding, t or ""), end_id], np.uint32) for t in batch.column(1).to_pylist()]
-            keys = _whole_keys(batch)
+            ids = [np.append(encode(encoding, t or ""), np.uint32(end_id)).astype(kind) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(keys),
-                    pa.array(np.searchsorted(bounds, keys, side="right"), pa.int32()),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype(np.uint16).tobytes() if end_id < 65536 and x.max() < 65536 else x.tobytes() for x in ids], pa.binary()),
-                ],
-                names=["doc_id", "key", "part", "n", "ids"],
+                [batch.column(0), pa.array(_whole_keys(batch)), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                names=["doc_id", "key", "n", "ids"],
             )
 
     return run
 
 
 def _lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Offsets within the part, of rows sorted by part."""
-    last, total = None, 0
+    """Offsets within the part, which is the task's partition."""
+    from pyspark import TaskContext
+
+    part, total = TaskContext.get().partitionId(), 0
     for batch in batches:
-        at = np.zeros(batch.num_rows, np.int64)
-        for i, (part, n) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            last, total = part, total if part == last else 0
-            at[i], total = total, total + n
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(at), batch.column(3), batch.column(4)], names=["doc_id", "part", "at", "n", "ids"])
+        n = batch.column(2).to_numpy()
+        ends = total + np.cumsum(n)
+        total = int(ends[-1]) if len(n) else total
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(ends - n), batch.column(2), batch.column(3)], names=["doc_id", "part", "at", "n", "ids"])
 
 
-def _pieces(size: int, parts: list[int], befores: list[int]):
+def _pieces(size: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for sub in slices(iter([batch]), "ids", 1 << 22):
-                yield _cut(sub)
-
-    def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows: list[tuple] = []
-        place, blobs = [], []
-        for k, (part, at, n, blob) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True)):
-            ids = np.frombuffer(blob, np.uint16 if len(blob) == 2 * n else np.uint32).astype("<u4")
-            here, start = befores[bisect.bisect_left(parts, part)] + at, 0
-            while start < n:
-                length = min(n - start, size - (here + start) % size)
-                rows.append((start, length, n, (here + start) // size, (here + start) % size))
-                place.append(k)
-                blobs.append(ids[start : start + length].tobytes())
-                start += length
-        cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5
+                yield cut(sub)
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        first, n = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        sequence = first // size
+        doc = np.repeat(np.arange(len(n)), (first + n - 1) // size - sequence + 1)
+        sequence = vec.ragged(sequence, np.bincount(doc, minlength=len(n)))
+        start = np.maximum(sequence * size, first[doc])
+        length = np.minimum((sequence + 1) * size, (first + n)[doc]) - start
+        # The pieces follow each other as the documents' tokens do.
+        ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), kind).astype("<u4")
+        ends = np.concatenate([[0], 4 * np.cumsum(length)]).astype(np.int64)
+        blobs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        cols = [pa.array(c, pa.int64()) for c in (start - first[doc], length, n[doc], sequence, start - sequence * size)]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(place, pa.int64())), *cols, pa.array(blobs, pa.binary())],
+            [batch.column(0).take(pa.array(doc, pa.int64())), *cols, blobs.cast(pa.binary())],
             names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
         )
 
     return run
 
 
-def pack(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, vocabulary: str = "byte_bpe_50k.tiktoken", end_id: int = 1
-) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2048, vocabulary: str = "byte_bpe_50k", end_id: int = 1) -> DataFrame:
     """Per piece: doc_id, start, length, doc_tokens, sequence_id, offset and ids (little-endian 32-bit, as binary)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pack")
     id_ = F.col(f"`{id_col}`")
     tie = F.shiftrightunsigned(F.xxhash64(id_), 64 - TIE_BITS)
     own = docs.select(id_.alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), tie.alias("tie"))
-    n_parts = concurrency(spark)
-    keys = own.select(F.lit(0).alias("doc_id"), "text", "tie").mapInArrow(_key, "key long")
-    cuts = [i / n_parts for i in range(1, n_parts)]
-    bounds = sorted(set(keys.agg(F.percentile_approx("key", cuts, 10_000)).first()[0] or [])) if cuts else []
     id_field = own.schema["doc_id"]
-    tokens = own.mapInArrow(_tokenize(vocabulary, end_id, bounds), StructType([id_field]).add("key", "long").add("part", "integer").add("n", "long").add("ids", "binary"))
-    dealt = tokens.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "key", "doc_id", "ids")
-    laid = scratch.cut(dealt.mapInArrow(_lay_out, StructType([id_field]).add("part", "integer").add("at", "long").add("n", "long").add("ids", "binary")), "laid")
-    totals = sorted(laid.groupBy("part").agg(F.sum("n").alias("n")).collect())  # a row for each part
-    parts, befores, sum_ = [], [], 0
-    for part, n in totals:
-        parts.append(part)
-        befores.append(sum_)
-        sum_ += n
+    tokens = scratch.cut(own.mapInArrow(_tokenize(vocabulary, end_id), StructType([id_field]).add("key", "long").add("n", "long").add("ids", "binary")), "tokens")
+    total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranged = tokens.repartitionByRange(max(concurrency(spark), -(-total // PART)), "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
+    laid = ranged.mapInArrow(_lay_out, StructType([id_field]).add("part", "integer").add("at", "long").add("n", "long").add("ids", "binary"))
+    laid = scratch.cut(laid, "laid")
+    totals = laid.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each part
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    placed = laid.join(F.broadcast(starts), "part").select("doc_id", (F.col("before") + F.col("at")).alias("first"), "n", "ids")
     out = StructType([id_field])
     for c in ("start", "length", "doc_tokens", "sequence_id", "offset"):
         out = out.add(c, "long")
-    return laid.mapInArrow(_pieces(size, parts, befores), out.add("ids", "binary"))
+    return placed.mapInArrow(_pieces(size, _kind(vocabulary, end_id)), out.add("ids", "binary"))

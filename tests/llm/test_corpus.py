@@ -29,6 +29,7 @@ def corpus():
         for _ in range(rng.randrange(0, 4)):
             copy[rng.randrange(len(copy))] = word()
         texts.append(" ".join(copy))
+    texts += ["<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>  c <|endo", " \n" * 3000 + "x<|endoftext|>"]
     texts += [texts[10]] * 5 + [texts[12].upper(), " ".join(word() for _ in range(6000))]
     rows = [(k, t, ["en", "de", None][k % 3], f"s{k % 3}" if k % 5 else None, 1) for k, t in enumerate(texts)]
     return rows
@@ -204,7 +205,6 @@ def test_pack(docs, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = collections.defaultdict(list)
     sequences = collections.defaultdict(list)
     for r in packing.pack(docs, size=64).collect():
@@ -236,28 +236,26 @@ def test_encoders_agree():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rng = random.Random(2)
     for _ in range(300):
         t = "".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FF), rng.randrange(0x3040, 0x30FF), 10, 9, 32, 39, 0x2028, 0x1F600])) for _ in range(40))
-        assert packing.encoder("byte_bpe_50k.tiktoken").encode_ordinary(t) == tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.encode(packing.encoder("byte_bpe_50k"), t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def test_long_white_space():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    encoding = packing.encoder("byte_bpe_50k.tiktoken")
+    encoding = packing.encoder("byte_bpe_50k")
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     long = 1_100_000
     for t in (" " * long + "x", "a" + "\n" * long + "'s", "a " + "\u3000\t" * (long // 2), "b" + " " * long + "\x1c" + "\n" * long):
-        assert packing.encode(encoding, t) == tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.encode(encoding, t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
     rng = random.Random(4)
-    marks = [" ", " ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2009", "\u200b", "\u2028", "\u3000", "a", "7", "'s", "-"]
+    marks = ["<|endoftext|>", "<|", " ", " ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2009", "\u200b", "\u2028", "\u3000", "a", "7", "'s", "-"]
     for _ in range(500):
         t = "".join(rng.choice(marks) * rng.choice([1, 1, 2, 5]) for _ in range(12))
-        assert packing.encode(encoding, t, longest=rng.choice([1, 2, 3])) == tokenizer.encode(t, add_special_tokens=False).ids
+        assert packing.encode(encoding, t, longest=rng.choice([1, 2, 3])).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def test_nearest(spark):
