@@ -9,26 +9,35 @@ collided often enough with high probability. Nothing else bounds the candidates.
 Largest inner product is nearest distance after scaling all vectors by the largest norm and completing them
 to unit length with one more coordinate.
 
-Rows are dealt to shards by a hash of the identifier, queries to blocks; every block meets every shard, and the shards'
-lists are merged. Equal vectors of a shard are indexed once, with as many of their least ids as an answer can hold.
-
-Vectors that are null, zero, of another length than the longest, or hold null or non-finite components take no part.
-Null ids take no part. Ties go to the smaller id. A row repeated with one id and vector counts once. Empty tables give empty results.
-Other columns are not read.
+Rows are dealt to shards by a hash of the identifier. A shard's rows come first in its task's stream, its arrays are
+built once, and the queries stream past them in batches, so a task holds a shard and a batch whatever the number of
+queries; the shards' lists are merged. Equal vectors of a shard are indexed once, with as many of their least ids as an
+answer can hold. Rows of other copies than these are not read again: base rows are shuffled once, queries once a shard.
+
+Vectors that are null, zero, or hold null or non-finite components take no part; a vector shorter than the longest
+counts as filled up with zeros, which leaves every inner product as it is. Null ids take no part. Ties go to the smaller
+id. A row repeated with one id and vector counts once; of different vectors with one id each is a candidate, the id is listed
+once with its best score, and as a query it has the best of its vectors' answers. A null condition asks nothing. Empty
+tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import concurrency
+
 PROJECTIONS = 64
 #: Half the window's width, in radii, and the standard deviations by which the threshold lies below the expected collisions.
 HALF_WIDTH, SLACK = 0.9, 1.0
 FIRST_RADIUS, GROWTH = 0.45, 1.15
-SHARD, QUERY_BLOCK = 16_384, 2_048
+#: Rows of a shard, at most, and at least where there are fewer than tasks; queries searched at once.
+SHARD, SMALL_SHARD, QUERIES = 1 << 16, 1 << 13, 64
 
 
 def threshold() -> int:
@@ -110,27 +119,41 @@ class Shard:
         return [(own, i, float(-s)) for s, i in sorted(found)[: self.k]]
 
 
-def _search(k: int, largest: float):
-    def run(base: pa.Table, queries: pa.Table) -> pa.Table:
-        rows: list[tuple[int, int, float]] = []
-        if base.num_rows and queries.num_rows:
-            shard = Shard(_ids(base), _matrix(base), largest, k)
-            ids, vectors = _ids(queries), _matrix(queries)
-            for i in range(0, len(ids), 64):
-                rows += shard.search(ids[i : i + 64], vectors[i : i + 64])
-        cols = list(zip(*rows, strict=True)) or [[], [], []]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+def _search(k: int, size: int, largest: float):
+    """Of rows (shard, asked, vec_id, embedding) sorted by shard, base rows before queries: every query's list from the shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, shard = None, [], None
+        for batch in batches:
+            shards, asked = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(shards) != 0) | (np.diff(asked.astype(np.int8)) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shards)], strict=True):
+                if a == b:
+                    continue
+                if shards[a] != now:
+                    now, held, shard = shards[a], [], None
+                ids, vectors = batch.column(2).to_numpy()[a:b], _matrix(batch.slice(a, b - a), size)
+                if not asked[a]:
+                    held.append((ids, vectors))
+                    continue
+                if shard is None and held:
+                    shard, held = Shard(*(np.concatenate(x) for x in zip(*held, strict=True)), largest, k), []
+                for i in range(0, len(ids) if shard else 0, QUERIES):
+                    rows = shard.search(ids[i : i + QUERIES], vectors[i : i + QUERIES])
+                    cols = list(zip(*rows, strict=True)) or [[], [], []]
+                    kinds = (pa.int64(), pa.int64(), pa.float64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def _ids(t: pa.Table) -> np.ndarray:
-    return t["vec_id"].combine_chunks().to_numpy()
-
-
-def _matrix(t: pa.Table) -> np.ndarray:
-    values = t["embedding"].combine_chunks().flatten().to_numpy()
-    return values.reshape(t.num_rows, -1)
+def _matrix(batch: pa.RecordBatch, size: int) -> np.ndarray:
+    """The vectors as rows of `size` components, filled up with zeros."""
+    col = batch.column(3)
+    sizes = np.diff(col.offsets.to_numpy())
+    out = np.zeros((len(col), size), col.type.value_type.to_pandas_dtype())
+    out[np.arange(size) < sizes[:, None]] = col.flatten().to_numpy()
+    return out
 
 
 def usable(vector: Column) -> Column:
@@ -145,13 +168,12 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     own = own.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
     norm = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, size, largest = own.agg(F.count(F.lit(1)), F.max(F.size("embedding")), F.sqrt(F.max(norm))).first()
-    own = own.where(F.size("embedding") == F.lit(size or 0))
-    asked = own.where("asked").select("vec_id", "embedding")
-    shards, blocks = max(1, -(-n // SHARD)), max(1, -(-asked.count() // QUERY_BLOCK))
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    base = own.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), every(blocks).alias("block"))
-    queries = asked.select("vec_id", "embedding", every(shards).alias("shard"), F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int").alias("block"))
-    found = base.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInArrow(_search(k, largest or 1.0), "query_id long, vec_id long, score double")
+    tasks = concurrency(vectors.sparkSession)
+    shards = max(1, -(-n // SHARD), min(tasks, -(-n // SMALL_SHARD)))
+    base = own.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asked"), "vec_id", "embedding")
+    queries = own.where("asked").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asked"), "vec_id", "embedding")
+    streamed = base.union(queries).repartition(max(shards, tasks), "shard").sortWithinPartitions("shard", "asked")
+    found = streamed.mapInArrow(_search(k, size or 0, largest or 1.0), "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -267,13 +267,16 @@ def test_nearest(spark):
     got = collections.defaultdict(list)
     for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
-    assert sorted(got) == list(range(0, 600, 20))
-    scores, hits = x.astype(float) @ x.astype(float).T, 0
+    assert sorted(got) == [*range(0, 600, 20), 1060]
+    # A shorter vector is filled up with zeros.
+    ids, x = np.append(np.arange(600), 1060), np.vstack([x, [1.0] * 3 + [0.0] * 13]).astype(float)
+    scores, hits = x @ x.T, 0
     for q, found in got.items():
-        order = [j for j in np.lexsort((np.arange(600), -scores[q])) if j != q][:10]
+        own = scores[int(np.flatnonzero(ids == q)[0])]
+        order = [int(ids[j]) for j in np.lexsort((ids, -own)) if ids[j] != q][:10]
         hits += len({v for _, v, _ in found} & set(order))
         assert [n for n, _, _ in sorted(found)] == list(range(1, 11))
-        assert all(abs(s - scores[q, v]) < 1e-9 for _, v, s in found)
+        assert all(abs(s - own[int(np.flatnonzero(ids == v)[0])]) < 1e-9 for _, v, s in found)
     assert hits / (10 * len(got)) >= 0.9
     few = ann.nearest(df.where("vec_id < 3"), F.col("vec_id") % 20 == 0, k=10).collect()
     assert len(few) == 2 and ann.nearest(df.where("vec_id < 0"), F.lit(True)).count() == 0
@@ -336,38 +339,78 @@ def test_quality(spark):
     assert {r.score for r in quality.classify(docs, labels.limit(0)).collect()} == {0.5}
 
 
-def brute_forward(word, probs, pieces):
-    if not word:
-        return 1.0
-    total = 0.0
-    for k in range(1, min(langid.PIECE, len(word)) + 1):
-        head = word[:k]
-        p = probs[pieces[head]] if head in pieces else (probs[-1] if k == 1 else 0.0)
-        if p:
-            total += p * brute_forward(word[k:], probs, pieces)
-    return total
+def brute_forward(word, probs, index):
+    """The sum over all segmentations, by the definition, in logarithms."""
+    import math
+
+    logs = [0.0]
+    for j in range(1, len(word) + 1):
+        terms = []
+        for i in range(max(0, j - 16), j):  # no piece is longer
+            piece = word[i:j]
+            p = probs[index[piece]] if piece in index else (probs[-1] if j - i == 1 else 0.0)
+            if p:
+                terms.append(logs[i] + math.log(p))
+        most = max(terms)
+        logs.append(most + math.log(sum(math.exp(t - most) for t in terms)))
+    return logs[-1]
 
 
 def test_forward_sums_all_segmentations():
-    import public_tokenizers
-    import sentencepiece
-
-    vocab = "piece_bpe_32k.model"
-    names, size = langid.vocabulary(vocab)
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(vocab))
-    pieces = {}
-    for i in range(model.get_piece_size()):
-        cp, offsets = vec.code_points([model.id_to_piece(i)])
-        name = vec.span_names(langid._tables()[2][cp], offsets[:-1], offsets[1:])
-        at = int(np.searchsorted(names, name)[0])
-        if at < size and names[at] == name[0]:
-            pieces[model.id_to_piece(i)] = at
-    assert len(pieces) == size
-    probs = np.random.Generator(np.random.PCG64(1)).random(size + 1)
-    probs /= probs.sum()
-    for word in ["a", "the", "letter", "übung", "ça", "қазақ"]:
-        cp, starts, ends, _ = langid.runs([word])
-        assert np.isclose(langid._logs(cp, starts, ends, probs[None], vocab)[0, 0], np.log(brute_forward("\u2581" + word, probs, pieces)))
+    vocab = langid.vocabulary("piece_bpe_32k.model")
+    rng = np.random.Generator(np.random.PCG64(1))
+    probs = rng.random((3, vocab.size + 1)) ** 8
+    probs /= probs.sum(axis=1, keepdims=True)
+    long = [p.strip("\u2581") for p in vocab.index if len(p) > 8][:60]
+    assert vocab.longest > 8 and len(long) == 60
+    words = ["a", "the", "letter", "übung", "ça", "қазақ", "internationalization", *long, "t" * 200, "".join(long)[:300], "漢" * 41, "qxz" * 100]
+    cp, starts, ends, _ = langid.runs([" ".join(words)])
+    got = langid.word_logs(cp, starts, ends, np.ascontiguousarray(probs.T), vocab)
+    for word, row in zip(words, got, strict=True):
+        assert np.allclose(row, [brute_forward("\u2581" + word, p, vocab.index) for p in probs])
+
+
+def test_estimate_is_expectation_maximisation(monkeypatch):
+    pieces = langid.Pieces(sorted(["a", "b", "ab", "\u2581", "\u2581a", "ba"]))
+    words, counts = ["ab", "abab", "b", "cab"], np.array([3.0, 2.0, 1.0, 1.0])
+
+    def segmentations(word):
+        if not word:
+            yield []
+        for k in range(1, len(word) + 1):
+            if word[:k] in pieces.index or k == 1:
+                for rest in segmentations(word[k:]):
+                    yield [pieces.index.get(word[:k], pieces.size), *rest]
+
+    probs = np.full(pieces.size + 1, 1 / (pieces.size + 1))
+    for _ in range(langid.ROUNDS):
+        seen = np.full(len(probs), langid.ADDED)
+        for word, n in zip(words, counts, strict=True):
+            every = list(segmentations("\u2581" + word))
+            weight = np.array([probs[x].prod() for x in every])
+            for x, w in zip(every, weight / weight.sum(), strict=True):
+                np.add.at(seen, x, n * w)
+        probs = seen / seen.sum()
+    assert np.allclose(langid.estimate(words, counts, pieces), probs)
+
+
+def test_many_languages_and_long_runs(spark):
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 120 * 6)]
+    rng = random.Random(9)
+    text = lambda k, n: "".join(rng.choice(letters[6 * k : 6 * k + 6]) for _ in range(n))
+    data = [(12 * k + i, text(k, 30), f"l{k:03}") for k in range(120) for i in range(12)]
+    data += [(5000 + k, text(k, 200) + " " + text(k, 900), None) for k in range(120)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    # Every letter of the pieces is unknown but a few: languages are told apart by those, ties go to the first.
+    pred = {r.doc_id: (r["__lang_pred"], r["__score"]) for r in langid.identify(docs).collect()}
+    assert len({p for p, _ in pred.values()}) > 20 and all(0 <= s <= 1 for _, s in pred.values())
+    langs, probs = langid.learn(docs, "doc_id", "text", "lang", "piece_bpe_32k.model", 500)
+    assert len(langs) == 120
+    vocab = langid.vocabulary("piece_bpe_32k.model")
+    for k in (0, 119):
+        words = data[120 * 12 + k][1].split()
+        logs = [sum(brute_forward("\u2581" + w, p, vocab.index) for w in words) for p in probs]
+        assert pred[5000 + k][0] == langs[int(np.argmax(np.round(logs, 6)))] or np.isclose(max(logs), logs[langs.index(pred[5000 + k][0])])
 
 
 def test_language(spark):
@@ -450,3 +493,43 @@ def test_whole_documents_are_mixed(spark):
     plan = queries.op9_mix_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("RepartitionByExpression")
     assert "sha2" in above and "sha2" not in below and "text#" in below
+
+
+def test_vectors_of_other_lengths_and_repeated_ids(spark):
+    data = [(0, [1.0, 2.0]), (1, [1.0]), (2, [0.5, 1.0, 9.0]), (20, [2.0, 0.0]), (20, [0.0, 3.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (None, [5.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").withColumn("shard", F.lit(1))
+    got = [tuple(r) for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=5).collect()]
+    wide = [(i, np.array([*v, 0.0, 0.0][:3])) for i, v in data if i is not None]
+    for q in (0, 20):
+        best = {}
+        for i, v in wide:
+            if i != q:
+                best[i] = max([best.get(i, -9.0)] + [float(v @ w) for j, w in wide if j == q])
+        want = sorted(best.items(), key=lambda x: (-x[1], x[0]))
+        assert [(r[1], r[2], r[3]) for r in sorted(got) if r[0] == q] == [(n, i, s) for n, (i, s) in enumerate(want[:5], 1)]
+    assert ann.nearest(df, F.lit(None).cast("boolean")).count() == 0
+
+
+def test_clashing_names(spark, docs):
+    names = ["__uid", "__key", "__none", "__nth", "__digest", "__source", "__rate", "__copies", "__copy", "__order", "__cdf", "__score", "__LANG_PRED", "__text", "uid", "n", "text_sha256", "key", "part", "upto", "rate", "shard", "block"]
+    odd = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)], F.col("doc_id").alias("an.id"))
+    for kept in (exact_dedup.exact_dedup(odd), minhash.near_dedup(odd)):
+        assert kept.columns == odd.columns and all(r["__uid"] == 0 and r["block"] == len(names) - 1 for r in kept.collect())
+    mixed, found = mixing.mix_sources(odd), langid.identify(odd)
+    copy = mixing.added_names(odd)[2]
+    assert mixed.columns[: len(odd.columns)] == odd.columns and copy not in odd.columns
+    plain = {(r.doc_id, r["__copy"]) for r in mixing.mix_sources(docs).collect()}
+    assert {(r.doc_id, r[copy]) for r in mixed.collect()} == plain and all(r["__copy"] == names.index("__copy") for r in mixed.collect())
+    pred, _ = langid.added_names(odd)
+    assert {(r.doc_id, r[pred]) for r in found.collect()} == {(r.doc_id, r["__lang_pred"]) for r in langid.identify(docs).collect()}
+    assert exact_dedup.exact_dedup(odd, id_col="an.id").count() == exact_dedup.exact_dedup(docs).count()
+    assert substring_dedup.substring_dedup(odd, id_col="an.id").count() == docs.count() == minhash.near_groups(odd, id_col="an.id")[1].count()
+    assert packing.pack(odd).count() == packing.pack(docs).count()
+
+
+def test_mixing_null_sources_and_repeated_rows(spark):
+    data = [(None, None), (None, "a"), (1, None), (1, None), (2, "a"), (2, "a")]
+    rows = spark.createDataFrame(data, "doc_id long, source string")
+    got = collections.Counter((r.doc_id, r.source, r["__copies"]) for r in mixing.mix_sources(rows, size_factor=3.0).collect())
+    for (doc, source, copies), n in got.items():
+        assert n == copies * data.count((doc, source))
