@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch, table
 from millrace.llm.exact_dedup import exact_dedup
-from millrace.llm.langid import identify
+from millrace.llm.langid import added_names, identify
 from millrace.llm.minhash import near_dedup
 from millrace.llm.mixing import mix_sources
 from millrace.llm.packing import pack
@@ -19,7 +19,8 @@ from millrace.llm.packing import pack
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned go on; those without one (`und`: null, or no letter) are rejected."""
-    return identify(docs).where("__lang_pred <> 'und'").select(docs.columns)
+    pred, _ = added_names(docs)
+    return identify(docs).where(F.col(pred) != "und").select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are repeated towards shares proportional to (rows of the source) ** 0.7; rows come in global random order."""
-    return mix_sources(docs, temperature=0.7).select(docs.columns)
+    return mix_sources(docs, temperature=0.7).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
