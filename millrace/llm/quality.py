@@ -6,7 +6,8 @@ tokens is a feature, and so are a pair of equal tokens and one with a token betw
 A score is the logistic function of the sparse dot product with the learned weights.
 
 Training (FTRL-Proximal) runs at the driver over at most `max_rows` labelled rows, those of least hash of the
-identifier; the bound is a parameter and the only sampling. Scoring reads whole texts of all rows.
+identifier, and of these over as many, in that order, as have `max_bytes` of text together; these bounds are parameters and
+the only sampling. Scoring reads whole texts of all rows.
 
 Nulls and empty texts have no features and score the bias alone. Null ids belong to the fold of the empty string. Rows with null labels
 do not train. Repeated rows count each time. Without any labelled row all scores are one half. Empty tables give empty results.
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -100,9 +101,9 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_rows: int) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_rows: int, max_bytes: int) -> tuple[np.ndarray, float]:
     """Learn from labelled rows of the training fold; `labels` has the id and `label` (0 or 1)."""
-    known = labels.where(F.col("label").isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("__id"), F.col("label").cast("int").alias("label"))
+    known = labels.where(F.col("label").isNotNull() & ~held_out(F.col(f"`{id_col}`"))).select(F.col(f"`{id_col}`").alias("__id"), F.col("label").cast("int").alias("label"))
     # A hash threshold leaves about twice the rows asked for, so that the sort has a bounded input at any size.
     span = max(1, known.count() // (2 * max_rows))
     spread = known.withColumn("h", F.xxhash64("__id")).where(F.pmod("h", F.lit(span)) == 0)
@@ -122,7 +123,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_rows
             )
 
     found = texts.join(F.broadcast(sample), "__id").select("label", "text", F.xxhash64("__id").alias("h"))
-    # At most max_rows rows; sorted, so that the updates come in the same order on every run.
+    # Sizes of at most max_rows rows (and their repetitions) meet in one window; texts do not.
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    upto = F.sum("size").over(Window.orderBy("h").rangeBetween(Window.unboundedPreceding, 0))
+    fits = texts.join(F.broadcast(sample), "__id").select(F.xxhash64("__id").alias("h"), size.alias("size")).withColumn("upto", upto)
+    last = fits.where(F.col("upto") <= max_bytes).agg(F.max("h")).first()[0]
+    found = found.where(F.col("h") <= F.lit(last).cast("long"))
+    # Sorted, so that the updates come in the same order on every run.
     got = found.repartition("h").sortWithinPartitions("h").select("label", "text").mapInArrow(featurise, "label int, places binary, values binary").toArrow()
     rows = sorted(zip(got["places"].to_pylist(), got["values"].to_pylist(), got["label"].to_pylist(), strict=True))
     return train([(np.frombuffer(p, np.int32), np.frombuffer(v, np.float32).astype(float)) for p, v, _ in rows], [y for _, _, y in rows])
@@ -142,7 +149,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     return own.mapInArrow(run, StructType([own.schema["doc_id"], StructField("score", DoubleType())]))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.3, max_rows: int = 6_000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.3, max_rows: int = 6_000, max_bytes: int = 1 << 26) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
-    scored = score(docs, fit(docs, labels, id_col, text_col, max_rows), id_col, text_col)
+    scored = score(docs, fit(docs, labels, id_col, text_col, max_rows, max_bytes), id_col, text_col)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= limit).cast("int").alias("predicted"))
