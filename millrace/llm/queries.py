@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .url_filter import TWO_LABEL_SUFFIXES
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,9 @@ _STRENGTH = """SELECT CASE WHEN sum(n * pow(bad / n - prior, 2)) > sum(prior * (
     THEN least(10000.0, greatest(1.0, (sum(n * prior * (1 - prior)) - sum(prior * (1 - prior))) / (sum(n * pow(bad / n - prior, 2)) - sum(prior * (1 - prior))) - 1))
     ELSE 10000.0 END FROM"""
 
+#: Does the host end in a suffix of two labels?
+_TWO = f"array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') IN ({', '.join(repr(s) for s in TWO_LABEL_SUFFIXES)})"
+
 OP2_SQL = f"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -46,7 +50,8 @@ WITH cut AS (
   FROM parts
 ), hosts AS (
   SELECT host, count(*)::DOUBLE AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1.0 ELSE 0.0 END)::DOUBLE AS bad,
-         array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain, string_split(host, '.')[-1] AS suffix
+         array_to_string(list_slice(string_split(host, '.'), CASE WHEN {_TWO} THEN -3 ELSE -2 END, NULL), '.') AS domain,
+         array_to_string(list_slice(string_split(host, '.'), CASE WHEN {_TWO} THEN -2 ELSE -1 END, NULL), '.') AS suffix
   FROM parts JOIN labels ON labels.doc_id = parts.page_id
   WHERE quality IS NOT NULL AND toxic IS NOT NULL AND host <> '' GROUP BY host
 ), d0 AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),

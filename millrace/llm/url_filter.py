@@ -20,7 +20,7 @@ from .common import Scratch
 
 #: (verdict, host and path prefix). The longest that fits wins.
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
-#: Suffixes of two labels under which names are registered (fixed values; one label otherwise).
+#: Suffixes of two labels under which names are registered; one label otherwise.
 TWO_LABEL_SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "com.tw", "gov.uk", "ne.jp", "or.jp", "org.au", "org.uk"]
 #: Blocked hosts are broadcast up to this many, else joined by shuffle.
 BROADCAST_HOSTS = 100_000

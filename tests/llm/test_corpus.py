@@ -318,12 +318,82 @@ def test_region_is_the_best_subsequence():
     for _ in range(60):
         source = "".join(rng.choice(["<p>a b c", "<nav>x y</nav>", "<div>", "</div>", "<a>q</a>", "<article>w w w w</article>"]) for _ in range(12))
         page = html_extract.Page(source)
-        values = [weights.score(page.stacks[s]) * len(v.split()) if k == "text" else -weights.cost(v) for k, v, s in page.items]
+        scores = weights.scores(page)
+        values = [scores[s] * len(v.split()) if k == "text" else -weights.cost(v) for k, v, s in page.items]
         first, last = html_extract.region(page, weights)
         best = max([0.0] + [sum(values[i:j]) for i in range(len(values)) for j in range(i + 1, len(values) + 1)])
         assert abs(sum(values[first:last]) - best) < 1e-9
 
 
+def test_labelled_pages_are_learned():
+    for page in html_extract.rendered():
+        words = html_extract.main_text(page, html_extract.learned()).split()
+        shown = " ".join(v for k, v, _ in html_extract.Page(page).items if k == "text").split()
+        assert "side" not in words and len(words) >= 0.95 * shown.count("main")
+
+
+def render(rng, word):
+    """A page and its main text, by a brute-force writer: blocks of the article between blocks of everything else."""
+    say = lambda n: " ".join(word() for _ in range(n))
+    main, side = [], []
+
+    def block(tag, n):
+        ws = [word() for _ in range(n)]
+        main.append(" ".join(ws))
+        raw = (rng.choice([" ", "  ", "\n", " \t"])).join(w.replace("&", "&amp;") for w in ws)
+        inner = rng.choice([raw, f"<b>{raw}</b>", f"{raw}<br>", f" {raw} ", f"<span>{raw}</span>"])
+        return f"<{tag}>{inner}</{tag}>"
+
+    def other():
+        side.append(1)
+        return rng.choice([
+            f"<nav><ul><li><a href='/'>{say(2)}</a></li></ul></nav>", f"<aside><p>{say(12)}</p></aside>", f"<form><p>{say(4)}</p><button>{say(1)}</button></form>", f"<div class='ad'>{say(9)}</div>",
+            f"<div class='cookie-notice'><p>{say(9)}</p></div>", f"<section class='comments'><h2>{say(1)}</h2><div class='comment'><p>{say(14)}</p></div></section>", f"<footer><p>{say(8)}</p></footer>",
+            f"<div class=\"sidebar\"><h3>{say(2)}</h3><p>{say(11)}</p></div>", f"<script>var x = '<p>{say(3)}</p>';</script>", f"<style>p {{ {say(2)} }}</style>", f"<!-- {say(5)} -->", f"<table class='comment'><tr><td>{say(9)}</td></tr></table>",
+        ])
+
+    parts = [block("h1", 5)]
+    for _ in range(rng.randrange(3, 9)):
+        parts.append(block("p", rng.randrange(2, 40)))
+        if rng.random() < 0.3:
+            parts.append("<ul>" + block("li", 4) + block("li", 6) + "</ul>")
+        if rng.random() < 0.4:
+            parts.append(other())
+    if rng.random() < 0.3:
+        parts[0] = f"<header>{parts[0]}<p>{say(3)}</p></header>"
+    shell = rng.choice(["<article>{}</article>", "<main><article>{}</article></main>", "<div id='content'><article class='post'>{}</article></div>", "<main>{}</main>"])
+    body = "<header><h1>" + say(2) + "</h1></header>" + other() + shell.format("".join(parts)) + other() + other()
+    return f"<!DOCTYPE html><html><head><title>{say(4)}</title></head><body>{body}</body></html>", "\n".join(main)
+
+
+def test_extraction_of_rendered_pages():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdeé&") for _ in range(rng.randrange(1, 8)))
+    for _ in range(150):
+        page, text = render(rng, word)
+        assert html_extract.main_text(page, html_extract.learned()) == text
+
+
+def test_headers_and_comments_inside_the_article(spark):
+    page = "<article><header><h1>T</h1><p>By Ann</p></header><p>Some words of the text.</p><table class='comment'><tr><td>I like it</td></tr></table></article>"
+    assert html_extract.main_text(page, html_extract.learned()) == "T\nSome words of the text."
+    pages = spark.createDataFrame([(1, "u", page)] * 3 + [(None, None, page)], "page_id long, url string, html string")
+    assert [r.n_chars for r in html_extract.extract(pages).collect()] == [25] * 4
+
+
+@pytest.mark.parametrize("piece", ["<![CDATA[", "<a ", "<a b=\"c", "<b>", "</i>", "<svg>", "<!", "<", "<div class=x{}>", "<li>", "&amp;", "<p><b>"])
+def test_reading_is_linear(piece):
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        source = "".join(piece.format(k) for k in range(n))
+        began = time.process_time()
+        html_extract.main_text(source, html_extract.learned())
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0] + 0.2 and took[1] < 5
+
+
 def test_quality(spark):
     rng = random.Random(6)
     good = lambda: " ".join(rng.choice(["the", "river", "ran", "over", "old", "stones", "and"]) for _ in range(30))
@@ -533,3 +603,89 @@ def test_mixing_null_sources_and_repeated_rows(spark):
     got = collections.Counter((r.doc_id, r.source, r["__copies"]) for r in mixing.mix_sources(rows, size_factor=3.0).collect())
     for (doc, source, copies), n in got.items():
         assert n == copies * data.count((doc, source))
+
+
+def brute_ftrl(rows, labels):
+    """FTRL-Proximal by its formulas, one number at a time."""
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - (quality.L1 if z[i] > 0 else -quality.L1)) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    order = np.random.Generator(np.random.PCG64(11))
+    for _ in range(quality.EPOCHS):
+        for r in order.permutation(len(rows)):
+            x = {**dict(zip(rows[r][0].tolist(), rows[r][1].tolist(), strict=True)), "bias": 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - labels[r]) * v
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / quality.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_updates():
+    rng = np.random.Generator(np.random.PCG64(8))
+    rows = [(np.sort(rng.choice(30, 6, replace=False)), rng.random(6)) for _ in range(80)]
+    labels = [int(r[0][0] < 4) for r in rows]
+    want = brute_ftrl(rows, labels)
+    weights, bias = quality.train(rows, labels)
+    assert np.isclose(bias, want.pop("bias")) and np.allclose([weights[i] for i in want], list(want.values()), atol=1e-6)
+    assert not weights[30:].any() and quality.train([], [])[1] == 0.0
+
+
+def test_quality_features_and_bounds(spark):
+    """Features by the definition, repeated rows, a very long text, and the bound on bytes."""
+    text = "The RED red fox, the fox!! the"
+    (places, values), *_ = quality.feature_rows(pa.array([text]))
+    # Tokens: the, (shouted), red, fox, ",", the, fox, "!!", the: features are the distinct ones, their pairs and the echo of `fox , the fox`.
+    assert len(places) == len(set(places.tolist())) and np.isclose((values**2).sum(), 1)
+    long = "word " * 200_000
+    data = [(k, "good calm text here", 1) for k in range(40)] + [(100 + k, "BAD!! $$$ spam", 0) for k in range(40)] + [(7, "good calm text here", 1), (999, long, 1)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame(sorted({(k, y) for k, _, y in data}), "doc_id long, label int")
+    got = quality.classify(docs.withColumn("label", F.lit("clash")), labels).collect()
+    assert len(got) == len(data) and len({r.score for r in got if r.doc_id == 7}) == 1
+    assert min(r.score for r in got if r.doc_id < 40) > max(r.score for r in got if 100 <= r.doc_id < 140)
+    bounded = quality.classify(docs, labels, max_bytes=400).collect()
+    assert {r.score for r in bounded} != {r.score for r in got}
+    assert {r.score for r in quality.classify(docs, labels, max_bytes=0).collect()} == {0.5}
+
+
+def test_urls_of_long_suffixes_null_labels_and_repeats(spark):
+    hosts = ["a.x.co.uk", "b.x.co.uk", "c.y.co.uk", "a.z.com", "b.z.com"]
+    rows = [(10 * h + i, f"https://{name}/p") for h, name in enumerate(hosts) for i in range(10)]
+    pages = spark.createDataFrame(rows + rows[:5] + [(None, "https://a.z.com/q")], "page_id long, url string")
+    bad = {"a.x.co.uk": 9, "b.x.co.uk": 8, "c.y.co.uk": 1, "a.z.com": 0, "b.z.com": 5}
+    outcomes = [(10 * h + i, int(i < bad[name])) for h, name in enumerate(hosts) for i in range(10)] + [(3, None), (None, 1)]
+    judged = url_filter.filter_urls(pages, spark.createDataFrame(outcomes, "page_id long, bad int")).collect()
+    assert len(judged) == len(rows) + 6
+    # The posterior by its formulas, level by level.
+    n, k = collections.Counter(), collections.Counter()
+    for i, y in outcomes:
+        for p, u in rows + rows[:5]:
+            if p == i and y is not None:
+                n[u[8:-2]] += 1
+                k[u[8:-2]] += y
+
+    def level(groups, prior):
+        s, v, w = (sum(f(c, b, prior[g]) for g, (c, b) in groups.items()) for f in (lambda c, b, m: c * (b / c - m) ** 2, lambda c, b, m: m * (1 - m), lambda c, b, m: c * m * (1 - m)))
+        size = min(1e4, max(1.0, (w - v) / (s - v) - 1)) if s > v else 1e4
+        return {g: (b + size * prior[g]) / (c + size) for g, (c, b) in groups.items()}, size
+
+    cut = lambda name, m: ".".join(name.split(".")[-m - (2 if name.endswith("co.uk") else 1) :])
+    by = [{}, {}, {}]
+    for name in n:
+        for m in range(3):
+            c, b = by[m].get(cut(name, m), (0, 0))
+            by[m][cut(name, m)] = (c + n[name], b + k[name])
+    total = sum(k.values()) / sum(n.values())
+    suffix, _ = level(by[0], dict.fromkeys(by[0], total))
+    domain, _ = level(by[1], {g: suffix[cut(g, 0)] for g in by[1]})
+    host, size = level(by[2], {g: domain[cut(g, 1)] for g in by[2]})
+    want = {g: m - 1.645 * (m * (1 - m) / (n[g] + size + 1)) ** 0.5 > 0.5 for g, m in host.items()}
+    assert {r.host: r.verdict == "block" for r in judged} == want and any(want.values()) and not all(want.values())
