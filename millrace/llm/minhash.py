@@ -13,8 +13,10 @@ Stages, all over the whole table:
    reached: a set must share one of its (1 - threshold) rarest shingles with any set it links to. Only a spanning
    forest is emitted. A neighbourhood beyond BLOCK shingles is dealt over blocks which share some members as
    pivots, each text once but for the pivots. What it still lacks are links between texts that share a band but no
-   group: of its bands, those that hold texts of several groups are confirmed each for itself (bands of equal members
-   once); a band beyond a block compares its members outside the largest group with all its members, in blocks.
+   group. They are sought in units: the whole neighbourhood, whose members outside its largest group are compared with
+   all its members, in blocks; or those of its bands that hold texts of several groups (bands of equal members once),
+   each for itself. Of the two ways, both exact, the one that moves fewer shingles is taken: a crowd of copies has few
+   members outside its largest group, a web of chance collisions has small bands.
 4. The confirmed forests' connected components are the groups; unconfirmed collisions never join two texts.
 
 Only stage 2 is probabilistic: with 40 bands of 7 a pair at similarity 0.85 shares no band with probability 2e-7;
@@ -41,7 +43,7 @@ from .graph import components
 #: Bands and rows of a band, by the least similarity (in percent) that they are meant for.
 BANDS = {85: (40, 7), 0: (48, 6)}
 #: Shingles of a neighbourhood that one task confirms at once; larger ones are dealt over blocks.
-BLOCK = 1 << 17
+BLOCK = 1 << 15
 #: Pivots that the blocks of a large neighbourhood share. Blocks hold twice as many texts at least, unless these have
 #: FEW_LARGE blocks' worth of shingles.
 PIVOTS, FEW_LARGE = 32, 16
@@ -297,32 +299,47 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _across(links: DataFrame, large: DataFrame, marks: DataFrame, texts: DataFrame, scratch: Scratch, size: int, percent: int) -> DataFrame:
     """The links that the blocks of large neighbourhoods could not see: between texts that share a band but no group yet."""
+    wide, once = F.lit(BLOCK * FEW_LARGE), F.lit(1).cast("long")
     joined = components(links, scratch, "blocks")
-    own = large.select("uid").join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    own = large.select("uid", "hood").join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     own = scratch.cut(own.join(marks.select("uid", "n", "keys"), "uid"), "own")
-    banded = own.select(F.explode("keys").alias("key"), "uid", "n", "root")
-    of_key = banded.groupBy("key").agg(
+
+    # The bands with texts of several groups; those of equal members once.
+    banded = own.select("hood", F.explode("keys").alias("unit"), "uid", "n", "root")
+    of_band = banded.groupBy("hood", "unit").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2"), F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.bit_xor(F.xxhash64("uid", F.lit(5))).alias("y")
     )
-    split = of_key.where("r1 <> r2").groupBy("m", "all_n", "x", "y").agg(F.min("key").alias("key"))
-    split = scratch.cut(split.select("key", _n_blocks(F.col("all_n"), F.col("m")).alias("blocks")), "split")
-    held = scratch.cut(banded.join(split, "key").select("key", "uid", "root", "blocks"), "held")
-    small = held.where("blocks = 1").select("key", "uid").join(texts, "uid")
-    found = scratch.cut(small.groupBy("key").applyInArrow(_confirm(size, percent), "a long, b long"), "small")
-    wide = held.where("blocks > 1")
-    if wide.isEmpty():
+    bands = of_band.where("r1 <> r2").groupBy("hood", "m", "all_n", "x", "y").agg(F.min("unit").alias("unit"))
+    bands = scratch.cut(bands.select("hood", "unit", "all_n", _n_blocks(F.col("all_n"), F.col("m")).alias("blocks")), "bands")
+
+    # What the two ways move, in shingles.
+    groups = own.groupBy("hood", "root").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
+    hoods = groups.groupBy("hood").agg(F.sum("n").alias("all_n"), F.max(F.struct("n", "m", "root")).alias("main"), F.sum("m").alias("m"))
+    hoods = hoods.select("hood", "all_n", "m", (F.col("all_n") - F.col("main.n")).alias("rest_n"))
+    of_hood = hoods.withColumn("blocks", _n_blocks(F.col("all_n"), F.col("m"))).withColumn("cost", F.col("all_n") * F.greatest(once, F.ceil(F.col("rest_n") / wide)) + F.col("rest_n") * F.col("blocks"))
+    by_band = bands.groupBy("hood").agg(F.sum("all_n").alias("moved")).join(of_hood, "hood")
+    by_band = scratch.cut(by_band.select("hood", "blocks", (F.col("moved") < F.col("cost")).alias("few")), "ways")
+
+    whole = own.join(by_band.where("not few").select("hood", "blocks"), "hood").select(F.lit(0).alias("way"), F.col("hood").alias("unit"), "uid", "n", "root", "blocks")
+    chosen = bands.join(by_band.where("few").select("hood"), "hood", "left_semi").select("hood", "unit", "blocks")
+    parts = banded.join(chosen, ["hood", "unit"]).select(F.lit(1).alias("way"), "unit", "uid", "n", "root", "blocks")
+    held = scratch.cut(whole.union(parts), "held")
+    small = held.where("blocks = 1").select("way", "unit", "uid").join(texts, "uid")
+    found = scratch.cut(small.groupBy("way", "unit").applyInArrow(_confirm(size, percent), "a long, b long"), "small")
+    split = held.where("blocks > 1")
+    if split.isEmpty():
         return found
-    per_root = wide.groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"))
-    main = per_root.groupBy("key").agg(F.max(F.struct("k", "root")).alias("main")).select("key", F.col("main.root").alias("main"))
-    sizes = marks.select("uid", "n")
-    rest = wide.join(main, "key").where("root <> main").join(sizes, "uid")
-    parts = rest.groupBy("key").agg(F.ceil(F.sum("n") / F.lit(BLOCK)).cast("int").alias("parts"))
-    rest = scratch.cut(rest.join(parts, "key").select("uid", "key", "root", "blocks", "parts"), "rest")
+    unit = ["way", "unit"]
+    per_root = split.groupBy(*unit, "root").agg(F.sum("n").alias("k"))
+    main = per_root.groupBy(*unit).agg(F.max(F.struct("k", "root")).alias("main")).select(*unit, F.col("main.root").alias("main"))
+    rest = split.join(main, unit).where("root <> main")
+    shares = rest.groupBy(*unit).agg(F.ceil(F.sum("n") / wide).cast("int").alias("parts"))
+    rest = scratch.cut(rest.join(shares, unit).select(*unit, "uid", "root", "blocks", "parts"), "rest")
     part = F.pmod(F.xxhash64("uid", F.lit(2)), F.col("parts").cast("long")).alias("part")
     block = F.pmod(F.xxhash64("uid", F.lit(3)), F.col("blocks").cast("long")).alias("block")
-    outside = rest.select("uid", "key", "root", part, _numbers(F.col("blocks")).alias("block"), F.lit(True).alias("outside"))
-    others = wide.join(parts, "key").select("uid", "key", "root", _numbers(F.col("parts")).alias("part"), block, F.lit(False).alias("outside"))
-    compared = outside.union(others).join(texts, "uid").groupBy("key", "block", "part").applyInArrow(_compare(size, percent), "a long, b long")
+    outside = rest.select(*unit, "uid", "root", part, _numbers(F.col("blocks")).alias("block"), F.lit(True).alias("outside"))
+    others = split.join(shares, unit).select(*unit, "uid", "root", _numbers(F.col("parts")).alias("part"), block, F.lit(False).alias("outside"))
+    compared = outside.union(others).join(texts, "uid").groupBy(*unit, "block", "part").applyInArrow(_compare(size, percent), "a long, b long")
     return found.union(scratch.cut(compared, "wide"))
 
 

@@ -149,11 +149,12 @@ def brute_groups(rows, percent):
     return {k: (len(s), find(k)) for k, s in sets.items()}
 
 
-@pytest.mark.parametrize(("percent", "block"), [(85, None), (80, 300)])
-def test_near_groups(docs, rows, percent, block, monkeypatch):
+@pytest.mark.parametrize(("percent", "block", "few"), [(85, None, 16), (80, 300, 1), (85, 300, 16)])
+def test_near_groups(docs, rows, percent, block, few, monkeypatch):
     if block:  # every neighbourhood of some size goes over blocks
         monkeypatch.setattr(minhash, "BLOCK", block)
         monkeypatch.setattr(minhash, "PIVOTS", 1)
+        monkeypatch.setattr(minhash, "FEW_LARGE", few)
     _, found = minhash.near_groups(docs, percent=percent)
     got = {r.doc_id: (r.n, r.component_id) for r in found.collect()}
     assert got == brute_groups(rows, percent)
@@ -163,6 +164,22 @@ def test_near_groups(docs, rows, percent, block, monkeypatch):
         assert {r.doc_id for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_near_groups_of_a_web_of_collisions(spark, monkeypatch):
+    """Texts with a common half collide without being linked; pairs of them are linked."""
+    monkeypatch.setattr(minhash, "BLOCK", 400)
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    rng = random.Random(3)
+    common = [f"c{k}" for k in range(60)]
+    texts = []
+    for _ in range(25):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        texts += [" ".join(common + own), " ".join(common + own[:-1] + ["x"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for percent in (85, 33):
+        _, found = minhash.near_groups(docs, percent=percent)
+        assert {r.doc_id: (r.n, r.component_id) for r in found.collect()} == brute_groups(list(enumerate(texts)), percent)
+
+
 def test_sketch_estimates():
     rng = np.random.Generator(np.random.PCG64(1))
     a = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
