@@ -47,6 +47,8 @@ BLOCK = 1 << 15
 #: Pivots that the blocks of a large neighbourhood share. Blocks hold twice as many texts at least, unless these have
 #: FEW_LARGE blocks' worth of shingles.
 PIVOTS, FEW_LARGE = 32, 16
+#: Bands are looked at where comparing a neighbourhood's texts whole would move each this many times (there are 40 or 48 bands).
+MANY_TIMES = 16
 U = np.uint64
 
 
@@ -304,21 +306,25 @@ def _across(links: DataFrame, large: DataFrame, marks: DataFrame, texts: DataFra
     own = large.select("uid", "hood").join(joined.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     own = scratch.cut(own.join(marks.select("uid", "n", "keys"), "uid"), "own")
 
-    # The bands with texts of several groups; those of equal members once.
-    banded = own.select("hood", F.explode("keys").alias("unit"), "uid", "n", "root")
+    # What comparing whole neighbourhoods moves, in shingles; one group needs nothing more.
+    groups = own.groupBy("hood", "root").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
+    hoods = groups.groupBy("hood").agg(F.sum("n").alias("all_n"), F.max(F.struct("n", "m", "root")).alias("main"), F.sum("m").alias("m"))
+    hoods = hoods.select("hood", "all_n", "m", (F.col("all_n") - F.col("main.n")).alias("rest_n")).where("rest_n > 0")
+    of_hood = hoods.withColumn("blocks", _n_blocks(F.col("all_n"), F.col("m"))).withColumn("cost", F.col("all_n") * F.greatest(once, F.ceil(F.col("rest_n") / wide)) + F.col("rest_n") * F.col("blocks"))
+    of_hood = scratch.cut(of_hood, "hoods")
+
+    # Where that is much more than each text once: the bands with texts of several groups, those of equal members once.
+    costly = of_hood.where(F.col("cost") > F.lit(MANY_TIMES) * F.col("all_n"))
+    banded = own.join(costly.select("hood"), "hood", "left_semi").select("hood", F.explode("keys").alias("unit"), "uid", "n", "root")
     of_band = banded.groupBy("hood", "unit").agg(
         F.min("root").alias("r1"), F.max("root").alias("r2"), F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.bit_xor(F.xxhash64("uid", F.lit(5))).alias("y")
     )
     bands = of_band.where("r1 <> r2").groupBy("hood", "m", "all_n", "x", "y").agg(F.min("unit").alias("unit"))
     bands = scratch.cut(bands.select("hood", "unit", "all_n", _n_blocks(F.col("all_n"), F.col("m")).alias("blocks")), "bands")
-
-    # What the two ways move, in shingles.
-    groups = own.groupBy("hood", "root").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"))
-    hoods = groups.groupBy("hood").agg(F.sum("n").alias("all_n"), F.max(F.struct("n", "m", "root")).alias("main"), F.sum("m").alias("m"))
-    hoods = hoods.select("hood", "all_n", "m", (F.col("all_n") - F.col("main.n")).alias("rest_n"))
-    of_hood = hoods.withColumn("blocks", _n_blocks(F.col("all_n"), F.col("m"))).withColumn("cost", F.col("all_n") * F.greatest(once, F.ceil(F.col("rest_n") / wide)) + F.col("rest_n") * F.col("blocks"))
-    by_band = bands.groupBy("hood").agg(F.sum("all_n").alias("moved")).join(of_hood, "hood")
-    by_band = scratch.cut(by_band.select("hood", "blocks", (F.col("moved") < F.col("cost")).alias("few")), "ways")
+    # A costly neighbourhood without such bands has no pair left that shares one.
+    moved = costly.join(bands.groupBy("hood").agg(F.sum("all_n").alias("moved")), "hood", "left")
+    few = moved.select("hood", (F.coalesce("moved", F.lit(0)) < F.col("cost")).alias("few"))
+    by_band = scratch.cut(of_hood.join(few, "hood", "left").select("hood", "blocks", F.coalesce("few", F.lit(False)).alias("few")), "ways")
 
     whole = own.join(by_band.where("not few").select("hood", "blocks"), "hood").select(F.lit(0).alias("way"), F.col("hood").alias("unit"), "uid", "n", "root", "blocks")
     chosen = bands.join(by_band.where("few").select("hood"), "hood", "left_semi").select("hood", "unit", "blocks")

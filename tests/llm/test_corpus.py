@@ -155,6 +155,7 @@ def test_near_groups(docs, rows, percent, block, few, monkeypatch):
         monkeypatch.setattr(minhash, "BLOCK", block)
         monkeypatch.setattr(minhash, "PIVOTS", 1)
         monkeypatch.setattr(minhash, "FEW_LARGE", few)
+        monkeypatch.setattr(minhash, "MANY_TIMES", few - 1)
     _, found = minhash.near_groups(docs, percent=percent)
     got = {r.doc_id: (r.n, r.component_id) for r in found.collect()}
     assert got == brute_groups(rows, percent)
@@ -168,6 +169,7 @@ def test_near_groups_of_a_web_of_collisions(spark, monkeypatch):
     """Texts with a common half collide without being linked; pairs of them are linked."""
     monkeypatch.setattr(minhash, "BLOCK", 400)
     monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "MANY_TIMES", 1)
     rng = random.Random(3)
     common = [f"c{k}" for k in range(60)]
     texts = []
