@@ -40,7 +40,7 @@ ROUNDS, ADDED, LEARN_RUN = 3, 0.05, 64
 CACHE, CELLS = 1_200_000, 1 << 20
 #: Steps between scalings of the forward sums: a step loses some 1e-9 at most, and a piece has at most a few dozen letters.
 SCALING = 8
-#: Samples of up to this many documents are broadcast, larger ones are joined by shuffle.
+#: Samples of up to this many documents, and as many languages, are broadcast; more are joined by shuffle.
 BROADCAST_DOCS = 1_000_000
 MARK = 0x2581
 U = np.uint64
@@ -219,11 +219,14 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, vocab: str
     id_, lang = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`").cast("string")
     known = docs.where(~held_out(id_) & lang.isNotNull()).select(id_.alias("id"), lang.alias("lang"), F.xxhash64(id_).alias("h"))
     langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    langs = langs.select("lang", F.greatest(F.lit(1), F.floor(F.col("n") / (2 * max_docs))).cast("long").alias("span"))
+    scratch = Scratch(docs.sparkSession, "language")
+    langs = scratch.cut(langs.select("lang", F.greatest(F.lit(1), F.floor(F.col("n") / (2 * max_docs))).cast("long").alias("span")), "langs")
+    if langs.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS:
+        langs = F.broadcast(langs)  # else all rows would meet by language before the threshold
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
     # A hash threshold leaves about twice the documents asked for, so that the ranks have a bounded input at any size.
     spread = known.join(langs, "lang").where(F.pmod("h", "span") == 0)
-    sample = Scratch(docs.sparkSession, "language").cut(spread.withColumn("nth", nth).where(F.col("nth") <= max_docs).select("id", "lang").distinct(), "sample")
+    sample = scratch.cut(spread.withColumn("nth", nth).where(F.col("nth") <= max_docs).select("id", "lang").distinct(), "sample")
     few = sample.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS
 
     def fit(group: pa.Table) -> pa.Table:
