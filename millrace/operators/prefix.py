@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,14 @@ def quantile_bounds(df: DataFrame, order: str, buckets: int = 64) -> list:
     return sorted(set(df.agg(F.percentile_approx(order, cuts, 10_000)).first()[0] or []))
 
 
+def bucket_of(value: Column, bounds: list, before: int = 0) -> Column:
+    """How many of the sorted bounds are at most the value, by halving; 0 for a null."""
+    if not bounds:
+        return F.lit(before)
+    half = len(bounds) // 2
+    return F.when(value >= F.lit(bounds[half]), bucket_of(value, bounds[half + 1 :], before + half + 1)).otherwise(bucket_of(value, bounds[:half], before))
+
+
 def running_totals(df: DataFrame, order: str, values: dict[str, str], ties: list[str], by: list[str] | None = None, bounds: list | None = None) -> DataFrame:
     """Adds, for each (new column, value) pair, the sum of the value over all rows (of the same `by`) before each row, by
     the numeric column `order` and then `ties`.
@@ -20,7 +28,7 @@ def running_totals(df: DataFrame, order: str, values: dict[str, str], ties: list
     bucket and group) meet in one window. Unless bounds are given, the quantiles cost one more pass over `df`.
     """
     by, bounds = by or [], quantile_bounds(df, order) if bounds is None else bounds
-    at = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(order))) if bounds else F.lit(0)
+    at = bucket_of(F.col(order), bounds)
     placed = df.withColumn("__bucket", at)
     zero = F.lit(0)
     within = Window.partitionBy(*by, "__bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
