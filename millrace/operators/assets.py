@@ -73,7 +73,9 @@ PATTERNS = {
     3: [[(0.28, 0.30), (0.72, 0.34), (0.50, 0.72)], [(0.30, 0.68), (0.50, 0.30), (0.74, 0.68)], [(0.28, 0.36), (0.70, 0.50), (0.34, 0.74)]],
     4: [[(0.28, 0.28), (0.72, 0.30), (0.30, 0.72), (0.72, 0.72)], [(0.34, 0.25), (0.72, 0.40), (0.28, 0.62), (0.66, 0.78)]],
 }
+#: The jitter of a centre as a share of the canvas, and how far later tries move in pixels across and down (fixed values).
 JITTER = 0.055
+REACH = (120, 150)
 
 
 def centre(image: Column, size: Column, slot: Column, width: int, height: int, seed: str) -> tuple[Column, Column]:
@@ -119,7 +121,7 @@ def place_objects(objects: DataFrame, image: str, slot: str, width: int, height:
             found = (0, 0, -1)
             fits = area[0] <= r.w * r.h / (width * height) <= area[1]
             for attempt in range(tries if fits else 0):
-                dx, dy = (0, 0) if attempt == 0 else (draw(r.image, r.slot, attempt, "x") % 241 - 120, draw(r.image, r.slot, attempt, "y") % 301 - 150)
+                dx, dy = (0, 0) if attempt == 0 else tuple(draw(r.image, r.slot, attempt, axis) % (2 * reach + 1) - reach for axis, reach in zip("xy", REACH, strict=True))
                 x, y = int(r.cx + dx - r.w // 2), int(r.cy + dy - r.h // 2)
                 inside = x >= margin and y >= margin and x + r.w <= width - margin and y + r.h <= height - margin
                 if inside and not any(overlaps((x, y, r.w, r.h), b) for b in placed):

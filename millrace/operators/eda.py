@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import order_statistics
+
 
 def summary(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     """A row per numeric column: count, nulls, mean, standard deviation, least, median, greatest; one pass."""
@@ -24,9 +26,12 @@ def fill_value(df: DataFrame, column: str, how: str = "median") -> DataFrame:
     if how == "mode":
         counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
         value = counts.agg(F.max(F.struct(F.col("__n"), (-F.col(column)).alias("__v"))).alias("__m")).select((-F.col("__m.__v")).alias("__fill"))
+    elif how == "mean":
+        value = df.agg(F.avg(column).alias("__fill"))
     else:
-        value = df.agg((F.avg(column) if how == "mean" else F.expr(f"percentile({column}, 0.5)")).alias("__fill"))
-    return df.crossJoin(F.broadcast(value)).withColumn(column, F.coalesce(F.col(column), F.col("__fill"))).drop("__fill")
+        value = order_statistics(df, [], column, [0.5]).select(F.col("quantiles")[0].alias("__fill"))
+    # One row, or none where there are no values.
+    return df.join(F.broadcast(value), how="left").withColumn(column, F.coalesce(F.col(column), F.col("__fill"))).drop("__fill")
 
 
 def fill_along(df: DataFrame, column: str, by: list[str], order: list[str], backward: bool = False) -> DataFrame:
@@ -44,15 +49,14 @@ def drop_duplicates(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFram
 
 
 def iqr_fences(df: DataFrame, column: str, by: list[str], k: float = 1.5) -> DataFrame:
-    q = F.expr(f"percentile({column}, array(0.25, 0.75))")
-    found = df.groupBy(*by).agg(q.alias("__q"))
+    found = order_statistics(df, by, column, [0.25, 0.75]).withColumnRenamed("quantiles", "__q")
     spread = (F.col("__q")[1] - F.col("__q")[0]) * k
     return found.select(*by, (F.col("__q")[0] - spread).alias("low"), (F.col("__q")[1] + spread).alias("high"))
 
 
 def outliers_iqr(df: DataFrame, column: str, by: list[str], k: float = 1.5, clip: bool = False) -> DataFrame:
     """Rows beyond the fences; with clip all rows, drawn to the fences."""
-    fenced = df.join(iqr_fences(df, column, by, k), by)
+    fenced = df.join(iqr_fences(df, column, by, k), by, "left")
     if clip:
         return fenced.withColumn(column, F.least(F.greatest(F.col(column), F.col("low")), F.col("high"))).drop("low", "high")
     return fenced.where((F.col(column) < F.col("low")) | (F.col(column) > F.col("high"))).drop("low", "high")

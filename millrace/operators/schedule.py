@@ -27,10 +27,13 @@ def balanced_schedule(combos: DataFrame, combo_col: str, size_col: str, products
 
 
 def round_robin(uses: DataFrame, product_col: str, order_cols: list[str], assets: DataFrame, asset_col: str, seed: str) -> DataFrame:
-    """Adds asset: every product deals its assets in turn, newly shuffled in each cycle. Products without assets drop out."""
+    """Adds asset: every product deals its assets in turn, newly shuffled in each cycle. Products without assets drop out.
+
+    The first order column is numeric: the uses of a product are numbered in buckets, so a hot one fills no single task.
+    """
     count = assets.groupBy(F.col(product_col).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    nth = F.row_number().over(Window.partitionBy(product_col).orderBy(*order_cols)) - 1
-    turns = uses.withColumn("__o", nth).join(count, F.col(product_col) == F.col("__p")).drop("__p")
+    numbered = running_total(uses.withColumn("__one", F.lit(1)), order_cols[0], "__one", order_cols[1:], "__o", [product_col]).drop("__one")
+    turns = numbered.join(count, F.col(product_col) == F.col("__p")).drop("__p")
     turns = turns.withColumn("cycle", F.floor(F.col("__o") / F.col("__n"))).withColumn("__slot", (F.col("__o") % F.col("__n")).cast("int"))
     cycles = turns.select(F.col(product_col).alias("__p"), F.col("cycle").alias("__c")).distinct()
     listed = assets.select(F.col(product_col).alias("__q"), F.col(asset_col).alias("asset"))
@@ -42,22 +45,10 @@ def round_robin(uses: DataFrame, product_col: str, order_cols: list[str], assets
 
 
 def hard_mix(anchors: DataFrame, combo_col: str, products: DataFrame, product_col: str, group_col: str, used_col: str, seed: str, most: int = 16, k: int = 3) -> DataFrame:
-    """Partners for anchors: up to `most` hashed candidates that share the anchor's group, the k least used of them.
-
-    Groups with one product have no partners.
-    """
-    anchor = anchors.select(F.col(combo_col).alias("combo"), F.col(product_col).alias("anchor"), F.col(group_col).alias("__g"))
-    other = products.select(F.col(product_col).alias("partner"), F.col(group_col).alias("__h"), F.col(used_col).alias("used"))
-    pairs = anchor.join(other, (F.col("__g") == F.col("__h")) & (F.col("anchor") != F.col("partner")))
-    draw = F.row_number().over(Window.partitionBy("combo").orderBy(hash_order(seed, F.col("combo"), F.col("partner")), "partner"))
-    few = pairs.withColumn("__draw", draw).where(F.col("__draw") <= most)
-    least = F.row_number().over(Window.partitionBy("combo").orderBy("used", "__draw"))
-    return few.withColumn("nth", least).where(F.col("nth") <= k).select("combo", "anchor", "partner", "nth")
-
+    """Partners for anchors: the k least used of up to `most` hashed candidates that share the anchor's group.
 
-def hard_mix_drawn(anchors: DataFrame, combo_col: str, products: DataFrame, product_col: str, group_col: str, used_col: str, seed: str, most: int = 16, k: int = 3) -> DataFrame:
-    """The same with candidates drawn by place: `most` distinct hashed places among the other products of the group
-    (Floyd's sampling: every subset is equally likely), so that an anchor never meets its whole group.
+    Candidates are drawn by place: distinct hashed places among the other products of the group (Floyd's sampling:
+    every subset is equally likely), so that an anchor never meets its whole group.
 
     Products have numeric identifiers, each once. Groups with one product have no partners.
     """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pearson
-from .prefix import running_total
+from .prefix import order_statistics, running_total
 
 
 def class_distribution(classes: DataFrame, class_col: str, counted: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -27,8 +27,8 @@ def count_of_counts(parents: DataFrame, parent_key: str, children: DataFrame, ch
 
 def quantiles(df: DataFrame, by: list[str], value: str, points: list[float], digits: int = 3) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per point."""
-    found = df.groupBy(*by).agg(F.expr(f"percentile({value}, array({', '.join(map(str, points))}))").alias("__q"))
-    return found.select(*by, F.posexplode("__q").alias("__i", "__v")).select(
+    found = order_statistics(df, by, value, points)
+    return found.select(*by, F.posexplode("quantiles").alias("__i", "__v")).select(
         *by, F.element_at(F.array(*[F.lit(p) for p in points]), F.col("__i") + 1).alias("point"), F.round("__v", digits).alias("value")
     )
 

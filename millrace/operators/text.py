@@ -35,7 +35,7 @@ def vocabulary(df: DataFrame, tokens: str, size: int, first_id: int = 2) -> Data
 def encode(df: DataFrame, id_col: str, tokens: str, vocab: DataFrame, length: int) -> DataFrame:
     """Per row the ids of its first `length` tokens, 1 for unknown ones, padded with 0."""
     flat = df.select(id_col, F.posexplode_outer(F.slice(tokens, 1, length)).alias("pos", "token"))
-    known = flat.join(F.broadcast(vocab.select("token", F.col("id").alias("__id"))), "token", "left")
+    known = flat.join(vocab.select("token", F.col("id").alias("__id")), "token", "left")
     listed = F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("__id", F.lit(1)).alias("id")))))
     ids = known.groupBy(id_col).agg(F.transform(listed, lambda x: x["id"]).alias("__ids"))
     return ids.select(id_col, F.concat("__ids", F.array_repeat(F.lit(0), F.lit(length) - F.size("__ids"))).alias("ids"))

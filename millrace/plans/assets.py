@@ -68,12 +68,39 @@ def _objects(spark, sf_dir):
     return slots.select("image", "slot", "size", (180 + F.col("image") % 120).alias("w"), (170 + F.col("image") % 140).alias("h"), cx.alias("cx"), cy.alias("cy"))
 
 
-@register(REGISTRY)
+_DRAW = "CAST('0x' || substr(sha1({}), 1, 13) AS BIGINT)".format
+_SPOTS = ", ".join(f"({n}, {i}, {len(ps)}, {s}, {a}::DOUBLE, {b}::DOUBLE)" for n, ps in assets.PATTERNS.items() for i, p in enumerate(ps) for s, (a, b) in enumerate(p))
+_PLACE = lambda spot, axis, side, reach: f"CAST(round_even({spot} * {side} + ({_DRAW(f"'c|' || image || '|' || slot || '|{axis}'")} % {2 * reach + 1} - {reach}), 0) AS INTEGER)"
+_CENTRES = f"""o AS (SELECT c_custkey AS image, CAST(2 + c_custkey % 3 AS INTEGER) AS size FROM customer), s AS (SELECT image, size, CAST(unnest(range(0, size)) AS INTEGER) AS slot FROM o),
+centres AS (SELECT image, size, slot, 180 + image % 120 AS w, 170 + image % 140 AS h, {_PLACE("px", 0, WIDTH, int(WIDTH * assets.JITTER))} AS cx, {_PLACE("py", 1, HEIGHT, int(HEIGHT * assets.JITTER))} AS cy
+  FROM s JOIN (VALUES {_SPOTS}) AS v(n, pattern, patterns, spot, px, py) ON n = size AND spot = slot AND pattern = {_DRAW("'c|' || image")} % patterns)"""
+
+
+@register(REGISTRY, f"WITH {_CENTRES} SELECT image, slot, cx, cy FROM centres")
 def candidate_centres(spark, sf_dir):
     return _objects(spark, sf_dir).select("image", "slot", "cx", "cy")
 
 
-@register(REGISTRY)
+def _turn(slot: int) -> str:
+    """SQL: the first place of a slot's candidates that meets none of the boxes placed before."""
+    both = "(greatest(0, least(c.x + c.w, b.x + b.w) - greatest(c.x, b.x)) * greatest(0, least(c.y + c.h, b.y + b.h) - greatest(c.y, b.y)))"
+    meets = f"{both} * 100 > 2 * (c.w * c.h + b.w * b.h - {both})"
+    box = "{'x': c.x, 'y': c.y, 'w': c.w, 'h': c.h}"
+    return f"""t{slot} AS (SELECT i.image, i.size, any_value(i.placed) AS placed, min(c.attempt) AS attempt, arg_min({box}, c.attempt) AS box
+  FROM p{slot} i LEFT JOIN tries c ON c.image = i.image AND c.slot = {slot} AND len(list_filter(i.placed, lambda b: {meets})) = 0 GROUP BY i.image, i.size),
+p{slot + 1} AS (SELECT image, size, CASE WHEN attempt IS NULL THEN placed ELSE list_append(placed, box) END AS placed FROM t{slot} WHERE size > {slot + 1})"""
+
+
+_SHIFT = lambda axis, span: f"CASE WHEN attempt = 0 THEN 0 ELSE {_DRAW(f"'p|' || image || '|' || slot || '|' || attempt || '|{axis}'")} % {2 * span + 1} - {span} END"
+_TURNS = f"""WITH {_CENTRES}, moved AS (SELECT image, slot, attempt, w, h, cx + {_SHIFT("x", assets.REACH[0])} - w // 2 AS x, cy + {_SHIFT("y", assets.REACH[1])} - h // 2 AS y FROM centres, range(0, 160) a(attempt)),
+tries AS (SELECT * FROM moved WHERE x >= 16 AND y >= 16 AND x + w <= {WIDTH - 16} AND y + h <= {HEIGHT - 16} AND w * h / {WIDTH * HEIGHT}::DOUBLE BETWEEN 0.015::DOUBLE AND 0.14::DOUBLE),
+p0 AS (SELECT image, size, []::STRUCT(x BIGINT, y BIGINT, w BIGINT, h BIGINT)[] AS placed FROM o), {", ".join(map(_turn, range(4)))}"""
+
+
+@register(
+    REGISTRY,
+    f"{_TURNS} " + " UNION ALL ".join(f"SELECT image, {k} AS slot, CAST(coalesce(box.x, 0) AS INTEGER) AS x, CAST(coalesce(box.y, 0) AS INTEGER) AS y, CAST(coalesce(attempt, -1) AS INTEGER) AS attempt FROM t{k}" for k in range(4)),
+)
 def placement(spark, sf_dir):
     return assets.place_objects(_objects(spark, sf_dir), "image", "slot", WIDTH, HEIGHT, "p")
 

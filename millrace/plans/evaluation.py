@@ -153,14 +153,15 @@ def wilson_gate(spark, sf_dir):
     return detection.promotion(groups, "hits", "n", "strategies", "families", "quality").select("grp", "hits", "n", "lower", "promoted")
 
 
-_TOP = """q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 25 = 0),
+_TOP = """q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 = 0),
 s AS (SELECT query_id, vec_id AS item_id, round(coalesce(list_dot_product(e, embedding::DOUBLE[]) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))), 0), 6) AS similarity FROM q, embeddings WHERE query_id <> vec_id),
 top AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS INTEGER) AS rank FROM s QUALIFY rank <= 10)"""
 
 
-def _top(spark, sf_dir, every=25):
+def _top(spark, sf_dir):
+    """The stated queries, every id divisible by 20, against all rows."""
     e = read(spark, sf_dir, "embeddings")
-    return retrieval.top_k(e.where(f"vec_id % {every} = 0"), e, "vec_id", "embedding", 10)
+    return retrieval.top_k(e.where("vec_id % 20 = 0"), e, "vec_id", "embedding", 10)
 
 
 @register(REGISTRY, f"WITH {_TOP} SELECT query_id, rank, item_id, similarity FROM top")
@@ -176,22 +177,3 @@ SELECT query_id, CASE WHEN s2 IS NULL OR round(s1 - s2, 6) > 0.02 THEN CAST(l AS
 )
 def open_set_unknown(spark, sf_dir):
     return retrieval.open_set(_top(spark, sf_dir), read(spark, sf_dir, "embeddings"), "vec_id", "label")
-
-
-# The same for all stated queries: every id divisible by 20, as in op7_nearest.
-_TOP_20 = _TOP.replace("vec_id % 25 = 0", "vec_id % 20 = 0")
-
-
-@register(REGISTRY, f"WITH {_TOP_20} SELECT query_id, rank, item_id, similarity FROM top")
-def knn_topk_20(spark, sf_dir):
-    return _top(spark, sf_dir, 20).select("query_id", "rank", "item_id", "similarity")
-
-
-@register(
-    REGISTRY,
-    f"""WITH {_TOP_20}, b AS (SELECT query_id, label, max(similarity) AS s FROM top JOIN embeddings ON vec_id = item_id GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, label) AS r FROM b),
-w AS (SELECT query_id, max(s) FILTER (r = 1) AS s1, max(s) FILTER (r = 2) AS s2, max(label) FILTER (r = 1) AS l FROM r GROUP BY query_id)
-SELECT query_id, CASE WHEN s2 IS NULL OR round(s1 - s2, 6) > 0.02 THEN CAST(l AS VARCHAR) ELSE 'unknown' END AS answer FROM w""",
-)
-def open_set_unknown_20(spark, sf_dir):
-    return retrieval.open_set(_top(spark, sf_dir, 20), read(spark, sf_dir, "embeddings"), "vec_id", "label")

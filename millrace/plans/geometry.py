@@ -75,7 +75,14 @@ def nested_overlap(spark, sf_dir):
     return overlap.nested_overlaps(boxes(spark, sf_dir), "image_id", "pos")
 
 
-@register(REGISTRY)
+@register(
+    REGISTRY,
+    f"""WITH RECURSIVE {BOXES}, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY part_id * 7919 % 1000 DESC, pos) AS r FROM boxes),
+s AS (SELECT image_id, 0::BIGINT AS r, []::STRUCT(pos INTEGER, x BIGINT, y BIGINT, w BIGINT, h BIGINT)[] AS kept FROM (SELECT DISTINCT image_id FROM boxes)
+  UNION ALL SELECT b.image_id, b.r, CASE WHEN len(list_filter(kept, lambda k: {inter("k", "b")} * 10 > {union("k", "b")})) > 0 THEN kept ELSE list_append(kept, {{'pos': pos, 'x': x, 'y': y, 'w': w, 'h': h}}) END
+  FROM s JOIN r b ON b.image_id = s.image_id AND b.r = s.r + 1)
+SELECT image_id, unnest(list_transform(kept, lambda k: k.pos)) AS pos FROM s QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY r DESC) = 1""",
+)
 def nms(spark, sf_dir):
     found = boxes(spark, sf_dir).withColumn("score", F.col("part_id") * 7919 % 1000)
     return overlap.non_maximum_suppression(found, ["image_id"], "score", "pos", 1, 10)

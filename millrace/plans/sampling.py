@@ -121,30 +121,28 @@ SELECT combo, slot, product, CAST(cycle AS BIGINT) AS cycle, asset FROM t JOIN k
 )
 def round_robin_assets(spark, sf_dir):
     names = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("product"))
-    assets = read(spark, sf_dir, "supplier").join(F.broadcast(names), "s_nationkey")
+    assets = read(spark, sf_dir, "supplier").join(names, "s_nationkey")
     return schedule.round_robin(_schedule(spark, sf_dir), "product", ["combo", "slot"], assets, "s_suppkey", "rr")
 
 
 @register(
     REGISTRY,
-    """WITH a AS (SELECT o_orderkey AS combo, p_partkey AS anchor, p_brand AS g FROM orders JOIN part ON p_partkey = o_orderkey % 200 + 1 WHERE o_orderkey % 3 = 0),
-d AS (SELECT combo, anchor, q.p_partkey AS partner, q.p_size AS used, row_number() OVER (PARTITION BY combo ORDER BY substr(sha1('hm|' || combo || '|' || q.p_partkey), 1, 16), q.p_partkey) AS draw
-  FROM a JOIN part q ON q.p_brand = a.g AND q.p_partkey <> a.anchor WHERE q.p_partkey <= 200)
-SELECT combo, anchor, partner, nth FROM (SELECT *, CAST(row_number() OVER (PARTITION BY combo ORDER BY used, draw) AS INTEGER) AS nth FROM d WHERE draw <= 16) WHERE nth <= 3""",
+    """WITH RECURSIVE parts AS (SELECT p_partkey, p_brand AS g, p_size AS used, row_number() OVER (ORDER BY p_partkey) - 1 AS turn, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS place,
+  count(*) OVER (PARTITION BY p_brand) - 1 AS others, count(*) OVER () AS n FROM part),
+a AS (SELECT o_orderkey AS combo, p_partkey AS anchor, g, place AS own, others FROM orders JOIN parts ON turn = o_orderkey % n WHERE others > 0),
+f AS (SELECT combo, others, greatest(others - 16, 0) AS top, []::BIGINT[] AS taken FROM a
+  UNION ALL SELECT combo, others, top + 1, list_append(taken, CASE WHEN list_contains(taken, draw) THEN top ELSE draw END)
+  FROM (SELECT *, CAST('0x' || substr(sha1('hm|' || combo || '|' || top), 1, 13) AS BIGINT) % (top + 1) AS draw FROM f WHERE top < others)),
+d AS (SELECT combo, anchor, g, own, unnest(taken) AS p FROM f JOIN a USING (combo) WHERE top = f.others)
+SELECT combo, anchor, p_partkey AS partner, CAST(row_number() OVER (PARTITION BY combo ORDER BY used, substr(sha1('hm|' || combo || '|' || p_partkey), 1, 16), p_partkey) AS INTEGER) AS nth
+FROM d JOIN parts q ON q.g = d.g AND q.place = p + CASE WHEN p >= own THEN 1 ELSE 0 END QUALIFY nth <= 3""",
 )
 def hard_mix(spark, sf_dir):
-    part = read(spark, sf_dir, "part")
-    anchors = read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").withColumn("p_partkey", F.col("o_orderkey") % 200 + 1).join(part, "p_partkey")
-    return schedule.hard_mix(anchors, "o_orderkey", part.where("p_partkey <= 200"), "p_partkey", "p_brand", "p_size", "hm")
-
-
-@register(REGISTRY)
-def hard_mix_all(spark, sf_dir):
-    """Partners for all orders, among all parts; orders are dealt over the parts in turn. Too many pairs for SQL: tests compare with brute force."""
+    """Partners for all orders, among all parts; orders are dealt over the parts in turn."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size").withColumn("one", F.lit(1))
     dealt = running_total(part, "p_partkey", "one", [], "turn").select("p_partkey", "turn")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", F.pmod("o_orderkey", F.lit(max(1, part.count()))).alias("turn"))
-    return schedule.hard_mix_drawn(orders.join(dealt, "turn"), "o_orderkey", part, "p_partkey", "p_brand", "p_size", "hm")
+    return schedule.hard_mix(orders.join(dealt, "turn"), "o_orderkey", part, "p_partkey", "p_brand", "p_size", "hm")
 
 
 @register(REGISTRY)

@@ -20,7 +20,7 @@ def _members(spark: SparkSession, path: str, prefix: str, kind: str, suffix: str
     """Members of the numbered archives with their set, first member first per stem."""
     sets = archives.archive_sets(spark, path, prefix, kind)
     files = archives.zip_members(spark, f"{path}/*.zip", (suffix,))
-    return files.join(F.broadcast(sets), "path")
+    return files.join(sets, "path")
 
 
 def box_of_document(label: Column) -> tuple[Column, Column]:

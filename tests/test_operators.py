@@ -134,13 +134,13 @@ def test_hard_mix_over_all_rows(spark):
             chosen.append(top if at in chosen else at)
         best = sorted((size[others[i]], sha("hm", o, others[i])[:16], others[i]) for i in chosen)[:3]
         want += [(o, anchor, p, n) for n, (*_, p) in enumerate(best, 1)]
-    assert rows(catalog.queries()["hard_mix_all"](spark, sf)) == sorted(want)
+    assert rows(catalog.queries()["hard_mix"](spark, sf)) == sorted(want)
     assert {a for _, a, *_ in want} == {p for p, g, _ in part if len(groups[g]) > 1}
 
     # Every other product of a larger group is drawn about equally often.
     products = spark.createDataFrame([(i * 3, "g", 0) for i in range(40)] + [(1000, "alone", 0), (1001, None, 0)], "p long, g string, used int")
     anchors = spark.createDataFrame([(c, 30) for c in range(3000)] + [(5000, 1000), (5001, 1001)], "c long, p long")
-    got = schedule.hard_mix_drawn(anchors, "c", products, "p", "g", "used", "t", k=16).groupBy("partner").count().collect()
+    got = schedule.hard_mix(anchors, "c", products, "p", "g", "used", "t", k=16).groupBy("partner").count().collect()
     assert {r.partner for r in got} == {i * 3 for i in range(40)} - {30}
     assert sum(r["count"] for r in got) == 16 * 3000 and all(abs(r["count"] - 3000 * 16 / 39) < 140 for r in got)
 
