@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,37 +100,49 @@ def centre(image: Column, size: Column, slot: Column, width: int, height: int, s
     return place(0, width), place(1, height)
 
 
-def place_objects(objects: DataFrame, image: str, slot: str, width: int, height: int, seed: str, tries: int = 160, margin: int = 16, area: tuple[float, float] = (0.015, 0.14), percent: int = 2) -> DataFrame:
+def place_objects(objects: DataFrame, image: str, slot: str, width: int, height: int, seed: str, tries: int = 160, margin: int = 16, area: tuple[float, float] = (0.015, 0.14), percent: int = 2, rounds: int = 1) -> DataFrame:
     """Places the objects (columns w, h, cx, cy) of each image in turn: image, slot, x, y, attempt; attempt is -1 where none fits.
 
     The first try stands at the centre, later ones are moved by hashed offsets. A place must keep the margin, the
-    area must be within bounds, and no box placed before may be overlapped by more than `percent`. An image's few
-    objects depend on each other, images do not: one group per image.
+    area must be within bounds, and no box placed before may be overlapped by more than `percent`. An image where an
+    object finds no place is laid out anew, with other draws, up to `rounds` times. Images do not depend on each other:
+    one group, of a few objects, per image.
     """
 
-    def draw(*key: object) -> int:
-        return int(hashlib.sha1("|".join(map(str, (seed, *key))).encode()).hexdigest()[:13], 16)
-
-    def overlaps(a: tuple, b: tuple) -> bool:
-        across = max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0]))
-        down = max(0, min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1]))
-        both = across * down
-        return both * 100 > percent * (a[2] * a[3] + b[2] * b[3] - both)
+    def moves(key: str, at: tuple) -> Iterator[tuple[int, int, int]]:
+        """Hashed corners of one object, numbered by try."""
+        w, h, cx, cy = at
+        for attempt in range(tries):
+            shift = [0, 0]
+            if attempt:
+                digests = (hashlib.sha1(f"{key}|{attempt}|{axis}".encode()).hexdigest() for axis in "xy")
+                shift = [int(d[:13], 16) % (2 * reach + 1) - reach for d, reach in zip(digests, REACH, strict=True)]
+            yield attempt, cx + shift[0] - w // 2, cy + shift[1] - h // 2
+
+    def free(x: int, y: int, w: int, h: int, boxes: np.ndarray) -> bool:
+        if min(x, y) < margin or x + w > width - margin or y + h > height - margin:
+            return False
+        sides = np.minimum((x + w, y + h), boxes[:, :2] + boxes[:, 2:]) - np.maximum((x, y), boxes[:, :2])
+        both = np.prod(np.maximum(sides, 0), axis=1)
+        return not np.any(both * 100 > percent * (w * h + np.prod(boxes[:, 2:], axis=1) - both))
+
+    def layout(name: int, group: pd.DataFrame, draws: str) -> list[tuple]:
+        boxes, rows = np.empty((0, 4), np.int64), []
+        for s, w, h, cx, cy in group[["slot", "w", "h", "cx", "cy"]].astype(int).itertuples(index=False):
+            allowed = area[0] <= w * h / (width * height) <= area[1]
+            spots = (m for m in moves(f"{draws}|{name}|{s}", (w, h, cx, cy)) if free(m[1], m[2], w, h, boxes)) if allowed else iter(())
+            attempt, x, y = next(spots, (-1, 0, 0))
+            if attempt >= 0:
+                boxes = np.vstack([boxes, (x, y, w, h)])
+            rows.append((name, s, x, y, attempt))
+        return rows
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        placed, rows = [], []
-        for r in group.sort_values("slot").itertuples():
-            found = (0, 0, -1)
-            fits = area[0] <= r.w * r.h / (width * height) <= area[1]
-            for attempt in range(tries if fits else 0):
-                dx, dy = (0, 0) if attempt == 0 else tuple(draw(r.image, r.slot, attempt, axis) % (2 * reach + 1) - reach for axis, reach in zip("xy", REACH, strict=True))
-                x, y = int(r.cx + dx - r.w // 2), int(r.cy + dy - r.h // 2)
-                inside = x >= margin and y >= margin and x + r.w <= width - margin and y + r.h <= height - margin
-                if inside and not any(overlaps((x, y, r.w, r.h), b) for b in placed):
-                    placed.append((x, y, r.w, r.h))
-                    found = (x, y, attempt)
-                    break
-            rows.append((r.image, r.slot, *found))
+        group, name = group.sort_values("slot"), int(group["image"].iloc[0])
+        for turn in range(rounds):
+            rows = layout(name, group, seed if turn == 0 else f"{seed}|{turn}")
+            if all(r[-1] >= 0 for r in rows):
+                break
         return pd.DataFrame(rows, columns=["image", "slot", "x", "y", "attempt"])
 
     own = objects.select(F.col(image).cast("long").alias("image"), F.col(slot).cast("int").alias("slot"), *[F.col(c).cast("long").alias(c) for c in ("w", "h", "cx", "cy")])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import order_statistics
+from .prefix import order_statistics, same_keys
 
 
 def summary(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
@@ -56,7 +56,9 @@ def iqr_fences(df: DataFrame, column: str, by: list[str], k: float = 1.5) -> Dat
 
 def outliers_iqr(df: DataFrame, column: str, by: list[str], k: float = 1.5, clip: bool = False) -> DataFrame:
     """Rows beyond the fences; with clip all rows, drawn to the fences."""
-    fenced = df.join(iqr_fences(df, column, by, k), by, "left")
+    held = [f"__by_{c}" for c in by]
+    fences = iqr_fences(df, column, by, k).select(*[F.col(c).alias(h) for c, h in zip(by, held, strict=True)], "low", "high")
+    fenced = df.join(fences, same_keys(by, held), "left").drop(*held)
     if clip:
         return fenced.withColumn(column, F.least(F.greatest(F.col(column), F.col("low")), F.col("high"))).drop("low", "high")
     return fenced.where((F.col(column) < F.col("low")) | (F.col(column) > F.col("high"))).drop("low", "high")

@@ -160,7 +160,7 @@ class _Written(WriterCommitMessage):
 
 
 class BinaryFiles(DataSource):
-    """Sink `binary_files`: a file for each row (file, content) under `path`.
+    """Sink `binary_files`: a file for each row (file, content) under `path`; names may have folders, content is bytes or text.
 
     Tasks write hidden temporary names; the commit renames them, an abort removes them. A file that exists
     already is an error unless the mode is overwrite.
@@ -181,18 +181,23 @@ class _BinaryWriter(DataSourceWriter):
     def _store(self):
         from pyarrow import fs
 
-        return fs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")
+        return fs.FileSystem.from_uri(self.path if "://" in self.path else f"file://{self.path.removeprefix('file:')}")
 
     def write(self, rows) -> _Written:
         from pyspark import TaskContext
 
         store, root = self._store()
         store.create_dir(root, recursive=True)
-        names, attempt = [], TaskContext.get().taskAttemptId()
+        names, made, attempt = [], set(), TaskContext.get().taskAttemptId()
         for row in rows:
-            temporary = f".{row['file']}.{attempt}"
+            folder, slash, base = row["file"].rpartition("/")
+            if folder and folder not in made:
+                store.create_dir(f"{root}/{folder}", recursive=True)
+                made.add(folder)
+            temporary = f"{folder}{slash}.{base}.{attempt}"
+            content = row["content"]
             with store.open_output_stream(f"{root}/{temporary}") as out:
-                out.write(row["content"])
+                out.write(content.encode() if isinstance(content, str) else content)
             names.append(temporary)
         return _Written(names)
 
@@ -201,9 +206,10 @@ class _BinaryWriter(DataSourceWriter):
 
         store, root = self._store()
         names = [n for m in messages if m for n in m.names]
-        targets = [n[1:].rsplit(".", 1)[0] for n in names]
+        parts = [n.rpartition("/") for n in names]
+        targets = [folder + slash + base[1:].rsplit(".", 1)[0] for folder, slash, base in parts]
         if not self.overwrite:
-            there = [i.base_name for i in store.get_file_info([f"{root}/{t}" for t in targets]) if i.type != fs.FileType.NotFound] if targets else []
+            there = [i.path for i in store.get_file_info([f"{root}/{t}" for t in targets]) if i.type != fs.FileType.NotFound] if targets else []
             if there:
                 self.abort(messages)
                 raise FileExistsError(f"exists already: {there[:5]}")
@@ -220,9 +226,12 @@ class _BinaryWriter(DataSourceWriter):
 
 
 def write_files(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Writes the (file, content) rows by the committing sink."""
-    df.sparkSession.dataSource.register(BinaryFiles)
-    df.select("file", "content").write.format("binary_files").option("path", path).mode("overwrite" if overwrite else "append").save()
+    """Writes the (file, content) rows by the committing sink; a path without a scheme is on the session's default file system."""
+    spark = df.sparkSession
+    spark.dataSource.register(BinaryFiles)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    df.select("file", "content").write.format("binary_files").option("path", whole).mode("overwrite" if overwrite else "append").save()
 
 
 def canonical_json(value: dict) -> str:

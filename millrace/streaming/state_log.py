@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +38,29 @@ def pending(requested: DataFrame, log: DataFrame, done: str = "validated", after
     """The requested sets beyond `after` that have no `done` event."""
     rest = requested.where(F.col("set_id") > after) if after is not None else requested
     return rest.join(log.where(F.col("event") == done).select("set_id").distinct(), "set_id", "left_anti")
+
+
+def run_sets(spark: SparkSession, requested: DataFrame, path: str, steps: dict[str, Callable[[int], None]]) -> list[int]:
+    """Runs the named steps for each requested set in turn, with an event after each; the last step's name marks it done.
+
+    Sets that are done are left out, so a run that broke off goes on where it was. A step that fails is logged as
+    `failed` and ends the run; nothing is deleted. Sets are numbered archives, a short list. Returns the sets that were run.
+    """
+    done = list(steps)[-1]
+
+    def log(event: str, set_id: int, code: int) -> None:
+        append(spark.createDataFrame([(event, set_id, [], code)], "event string, set_id int, argv array<string>, returncode int").coalesce(1), path)
+
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    rest = pending(requested, read(spark, path), done) if known else requested
+    ran = sorted(r[0] for r in rest.select("set_id").distinct().collect())
+    for set_id in ran:
+        for name, step in steps.items():
+            try:
+                step(set_id)
+            except Exception:
+                log("failed", set_id, 1)
+                raise
+            log(name, set_id, 0)
+    return ran
