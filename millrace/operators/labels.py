@@ -73,8 +73,14 @@ def first_per_key(df: DataFrame, key: str, seq: str) -> DataFrame:
 
 
 def coco_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Images, annotations and categories of COCO documents with those three arrays."""
-    return docs.select(F.inline("images")), docs.select(F.inline("annotations")), docs.select(F.inline("categories"))
+    """Images, annotations and categories of COCO documents with those three arrays; one that is empty in all has no columns but id."""
+
+    def table(name: str) -> DataFrame:
+        if docs.schema[name].dataType.elementType.typeName() == "struct":
+            return docs.select(F.inline(name))
+        return docs.select(F.explode(name).alias("id")).where("false")
+
+    return table("images"), table("annotations"), table("categories")
 
 
 def running_ids(df: DataFrame, group: str, pos: str) -> DataFrame:

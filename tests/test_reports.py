@@ -181,3 +181,23 @@ def test_sets_run_once(spark, tmp_path):
     assert state_log.run_sets(spark, requested, path, steps) == []
     assert [i for name, i in calls if name == "check"] == [1, 2, 2, 3]
     assert state_log.read(spark, path).where("event = 'failed'").count() == 1
+
+
+def test_commands(spark, tmp_path):
+    from millrace import __main__ as cli
+
+    cli.main(["sources", "/data", f"{tmp_path}/sources", "--include", "validation"])
+    assert spark.read.json(f"{tmp_path}/sources").count() == 2
+    spark.createDataFrame([(i, 2) for i in range(6)], "combo long, size int").write.parquet(f"{tmp_path}/sizes")
+    spark.createDataFrame([(i, i + 10, i) for i in range(3)], "product_id int, category_id int, class_index int").write.parquet(f"{tmp_path}/classes")
+    spark.createDataFrame([(i, i % 3, 1.0) for i in range(9)], "asset_id int, product_id int, aspect double").write.parquet(f"{tmp_path}/bank")
+    specs.write_report(spark, {"bbox_side_px_pct": {"0.05": 180.0, "0.5": 230.0, "0.95": 300.0}}, f"{tmp_path}/profile.json")
+    cli.main(["generate", *[f"{tmp_path}/{n}" for n in ("sizes", "classes", "bank")], f"{tmp_path}/profile.json", f"{tmp_path}/made"])
+    assert spark.read.parquet(f"{tmp_path}/made/annotations").count() == 12
+    box = {"category_id": 10, "class_index": 0, "product_id": "a", "bbox": [1.0, 2.0, 30.0, 40.0]}
+    coco = {"images": [{"id": 1, "width": 100, "height": 100, "combo_size": 2}], "annotations": [{"id": 1, "image_id": 1} | box, {"id": 2, "image_id": 1} | box | {"category_id": 1}], "categories": []}
+    (tmp_path / "coco.json").write_text(json.dumps(coco))
+    (tmp_path / "classes.csv").write_text("product_id,category_id,class_index\na,10,0\nb,11,1\n")
+    cli.main(["coco-report", f"{tmp_path}/coco.json", f"{tmp_path}/classes.csv", f"{tmp_path}/report.json"])
+    found = {r["rule"]: r["violations"] for r in json.loads((tmp_path / "report.json").read_text())["rules"]}
+    assert found == {"unknown_product": 0, "forbidden_category": 1, "category_mismatch": 1, "class_index_mismatch": 0, "box": 0, "combo_size": 0, "duplicate_product": 1, "overlap": 1, "unused_class": 1, "below_floor": 0}
