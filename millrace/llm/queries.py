@@ -126,14 +126,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import mix_sources
-
-    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
-    return mixed.select("doc_id", "source", F.col("__copy").alias("copy"), F.col("__copies").alias("n_copies"), F.col("__order").alias("order_key"))
-
-
-def op9_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over whole documents: texts go through the shuffle, and their digest is taken behind it."""
+    """Whole documents are copied and dealt; the digest of a copy's text is taken behind the shuffle."""
     from .mixing import mix_sources
 
     mixed = mix_sources(table(spark, sf_dir, "documents"))
@@ -153,29 +146,23 @@ WITH rates AS (
 ), cdf AS (
   SELECT source, k, sum(exp(lp)) OVER (PARTITION BY source ORDER BY k) AS upto FROM steps
 ), drawn AS (
-  SELECT doc_id, source,
+  SELECT row_number() OVER () AS nth, doc_id, source, lang, n_chars, sha256(coalesce(text, '')) AS text_sha256,
          CAST('0x' || substr(md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|1'), 1, 13) AS BIGINT) / pow(2, 52) AS u
   FROM documents
 ), counted AS (
-  SELECT d.doc_id, d.source, count(c.k) AS n_copies
+  SELECT nth, count(*) AS n_copies
   FROM drawn d JOIN cdf c ON c.source IS NOT DISTINCT FROM d.source AND d.u >= c.upto
-  GROUP BY d.doc_id, d.source, d.u
+  GROUP BY nth
 )
 SELECT doc_id, source, CAST(copy AS INTEGER) AS copy, CAST(n_copies AS INTEGER) AS n_copies,
-       md5('order17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS order_key
-FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
-"""
-
-
-OP9_DOCUMENTS_SQL = f"""
-SELECT m.*, d.lang, d.n_chars, sha256(coalesce(d.text, '')) AS text_sha256
-FROM ({OP9_SQL}) m JOIN documents d USING (doc_id)
+       md5('order17|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS order_key, lang, n_chars, text_sha256
+FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM drawn JOIN counted USING (nth))
 """
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op5_language": op5_language, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op9_mix_documents": op9_mix_documents, "op10_pack": op10_pack}
+    return {"op1_substring_dedup": op1_substring_dedup, "op2_url_filter": op2_url_filter, "op3_extract": op3_extract, "op4_quality": op4_quality, "op5_language": op5_language, "op6_minhash_dedup": op6_minhash_dedup, "op7_nearest": op7_nearest, "op8_exact_dedup": op8_exact_dedup, "op9_mix_sources": op9_mix_sources, "op10_pack": op10_pack}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL, "op9_mix_documents": OP9_DOCUMENTS_SQL}
+    return {"op2_url_filter": OP2_SQL, "op8_exact_dedup": OP8_SQL, "op9_mix_sources": OP9_SQL}

@@ -579,7 +579,7 @@ def test_extract_runs_to_the_end_of_scripts():
 def test_whole_documents_are_mixed(spark):
     from millrace.llm import queries
 
-    plan = queries.op9_mix_documents(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    plan = queries.op9_mix_sources(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     above, below = plan.split("RepartitionByExpression")
     assert "sha2" in above and "sha2" not in below and "text#" in below
 
