@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import assets, curation, evaluation, geometry, identifiers, reporting, sampling, statistics, tables, textual
+from .plans import assets, curation, evaluation, geometry, identifiers, reporting, sampling, statistics, stored, tables, textual
 
-_MODULES = (identifiers, geometry, curation, sampling, assets, statistics, tables, evaluation, textual, reporting)
+_MODULES = (identifiers, geometry, curation, sampling, assets, statistics, tables, evaluation, textual, reporting, stored)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

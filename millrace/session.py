@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Settings that the operators' semantics or plans rely on.
@@ -22,3 +25,13 @@ def session(name: str = "millrace", **more: str) -> SparkSession:
     for key, value in (DEFAULTS | more).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share: spark.checkpoint.dir, or the warehouse where that is unset
+    (on a local master a temporary folder)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        base = "file://" + tempfile.mkdtemp(prefix="millrace-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return f"{base.rstrip('/')}/millrace/stored-{uuid.uuid4().hex}"

@@ -154,6 +154,18 @@ def zip_bytes(entries: list[tuple[str, bytes]], stored: bool) -> bytes:
     return out.getvalue()
 
 
+def zip_archives(df: DataFrame, file: str, member: str, content: str, stored: bool) -> DataFrame:
+    """A row for each zip file: file, content. Members in order of their names; at most an archive's rows meet."""
+
+    def build(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["member"])
+        entries = [(r["member"], r["content"] or b"") for r in rows]
+        return pa.table({"file": [rows[0]["file"]], "content": pa.array([zip_bytes(entries, stored)], pa.binary())})
+
+    own = df.select(F.col(file).alias("file"), F.col(member).alias("member"), F.col(content).cast("binary").alias("content"))
+    return own.groupBy("file").applyInArrow(build, "file string, content binary")
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     names: list[str]

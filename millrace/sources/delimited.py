@@ -22,9 +22,9 @@ def read_rows(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def write_rows(df: DataFrame, path: str, columns: list[str], sep: str = ",") -> DataFrame:
-    """Writes the columns in order: others are dropped, missing ones are empty. Returns what was written."""
+    """Writes the columns in order, cells with their outer white space: others are dropped, missing ones are empty. Returns what was written."""
     out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
-    out.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return out
 
 

@@ -24,6 +24,14 @@ def test_delimited(spark, tmp_path):
         delimited.newline_list(spark, f"{tmp_path}/blank")
 
 
+def test_cells_keep_their_white_space(spark, tmp_path):
+    cells = [" a ", "a\r\nb\rc\n", '\\"x\\', '"', "\t,;", "\\", "#c", "\u00a0x\u0000", " ", "\n"]
+    for sep in (",", "\t"):
+        df = spark.createDataFrame(list(enumerate(cells)), "id int, cell string")
+        delimited.write_rows(df, f"{tmp_path}/cells", ["id", "cell"], sep)
+        assert [r.cell for r in delimited.read_rows(spark, f"{tmp_path}/cells", "id int, cell string", sep).orderBy("id").collect()] == cells
+
+
 def test_class_map(spark, tmp_path):
     (tmp_path / "ok.csv").write_text("class_index,category_id\n0,5\n1,7\n")
     assert delimited.class_map(spark, f"{tmp_path}/ok.csv", 2).count() == 2
