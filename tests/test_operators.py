@@ -5,6 +5,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import geometry, images, numbers, paths
@@ -158,6 +159,44 @@ def test_top_k_in_blocks(spark, monkeypatch):
     assert "CartesianProduct" in blocks._jdf.queryExecution().toString()
 
 
+def test_top_k_of_many_rows(spark):
+    """Twenty million pairs, which took minutes when every pair was a row; against brute force."""
+    import time
+
+    from millrace.operators import retrieval
+
+    rng, n, k = np.random.default_rng(5), 20_000, 10
+    vectors = rng.standard_normal((n, 16)).astype(np.float32)
+    vectors[rng.integers(0, n, 2000)] = vectors[7]
+    items = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "id long, v array<float>")
+    began = time.time()
+    got = np.array(retrieval.top_k(items.where("id % 20 = 0"), items, "id", "v", k).orderBy("query_id", "rank").select("query_id", "item_id", "similarity").collect())
+    assert time.time() - began < 60
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    scores = np.round(unit[::20] @ unit.T, 6)
+    scores[np.arange(n // 20), np.arange(0, n, 20)] = -2
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+    assert (got[:, 0].reshape(-1, k) == np.arange(0, n, 20)[:, None]).all() and (got[:, 1].reshape(-1, k) == want).all()
+    assert np.allclose(got[:, 2].reshape(-1, k), np.take_along_axis(scores, want, axis=1), atol=2e-6)
+
+
+@pytest.mark.parametrize("block", [16, 1 << 14])
+def test_top_k_of_odd_vectors(spark, monkeypatch, block):
+    """Blocks give what the column formula gives for every pair: nulls, NaN, other lengths, copies, repeated and null ids."""
+    from millrace.operators import retrieval
+
+    monkeypatch.setattr(retrieval, "FEW_ITEMS", block)
+    monkeypatch.setattr(retrieval, "ITEMS", block)
+    data = [(i, [float((i * 7 + j * j) % 5 - 2) for j in range(6)]) for i in range(40)] + [(300 + i, [1.0, 1.0, 1.0, 0.0, 0.0, 1.0]) for i in range(20)]
+    data += [(100, None), (101, [None, 1.0]), (102, [0.0] * 6), (103, [float("nan")] * 6), (104, [float("inf")] + [1.0] * 5), (105, [1e200] * 6), (106, [1e-200] * 6), (107, [1.0, 2.0]), (108, []), (109, [1.0, 2.0]), (3, [5.0] * 6), (None, [1.0] * 6)]
+    items = spark.createDataFrame(data, "id long, v array<double>").repartition(3)
+    pairs = items.select(F.col("id").alias("query_id"), F.col("v").alias("q")).crossJoin(items.select(F.col("id").alias("item_id"), F.col("v").alias("i"))).where("query_id <> item_id")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id"))
+    for k in (1, 7):
+        every = pairs.select("query_id", "item_id", F.round(retrieval.cosine(F.col("q"), F.col("i")), 6).alias("similarity")).withColumn("rank", rank).where(F.col("rank") <= k)
+        assert sorted(map(repr, every.collect())) == sorted(map(repr, retrieval.top_k(items, items, "id", "v", k).select(*every.columns).collect()))
+
+
 def test_round_robin(spark):
     uses = spark.createDataFrame([("a", i) for i in range(7)] + [("z", 0)], "p string, o int")
     assets = spark.createDataFrame([("a", k) for k in range(3)], "p string, asset int")
