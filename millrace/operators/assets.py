@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,8 +106,12 @@ def place_objects(objects: DataFrame, image: str, slot: str, width: int, height:
     The first try stands at the centre, later ones are moved by hashed offsets. A place must keep the margin, the
     area must be within bounds, and no box placed before may be overlapped by more than `percent`. An image where an
     object finds no place is laid out anew, with other draws, up to `rounds` times. Images do not depend on each other:
-    one group, of a few objects, per image.
+    a task takes many of them in order, and holds the few objects of one.
     """
+    low, high = area
+
+    def fits(w: int, h: int) -> bool:
+        return low <= w * h / (width * height) <= high
 
     def moves(key: str, at: tuple) -> Iterator[tuple[int, int, int]]:
         """Hashed corners of one object, numbered by try."""
@@ -119,31 +123,55 @@ def place_objects(objects: DataFrame, image: str, slot: str, width: int, height:
                 shift = [int(d[:13], 16) % (2 * reach + 1) - reach for d, reach in zip(digests, REACH, strict=True)]
             yield attempt, cx + shift[0] - w // 2, cy + shift[1] - h // 2
 
-    def free(x: int, y: int, w: int, h: int, boxes: np.ndarray) -> bool:
+    def free(x: int, y: int, w: int, h: int, boxes: list[tuple]) -> bool:
+        # A margin, and areas of a share of the canvas that hardly overlap: the boxes of an image stay few.
         if min(x, y) < margin or x + w > width - margin or y + h > height - margin:
             return False
-        sides = np.minimum((x + w, y + h), boxes[:, :2] + boxes[:, 2:]) - np.maximum((x, y), boxes[:, :2])
-        both = np.prod(np.maximum(sides, 0), axis=1)
-        return not np.any(both * 100 > percent * (w * h + np.prod(boxes[:, 2:], axis=1) - both))
-
-    def layout(name: int, group: pd.DataFrame, draws: str) -> list[tuple]:
-        boxes, rows = np.empty((0, 4), np.int64), []
-        for s, w, h, cx, cy in group[["slot", "w", "h", "cx", "cy"]].astype(int).itertuples(index=False):
-            allowed = area[0] <= w * h / (width * height) <= area[1]
-            spots = (m for m in moves(f"{draws}|{name}|{s}", (w, h, cx, cy)) if free(m[1], m[2], w, h, boxes)) if allowed else iter(())
+        for bx, by, bw, bh in boxes:
+            across, down = min(x + w, bx + bw) - max(x, bx), min(y + h, by + bh) - max(y, by)
+            if across > 0 and down > 0 and across * down * 100 > percent * (w * h + bw * bh - across * down):
+                return False
+        return True
+
+    def layout(name: int, group: list[tuple], draws: str) -> list[tuple]:
+        boxes, rows = [], []
+        for s, w, h, cx, cy in group:
+            spots = (m for m in moves(f"{draws}|{name}|{s}", (w, h, cx, cy)) if free(m[1], m[2], w, h, boxes)) if fits(w, h) else iter(())
             attempt, x, y = next(spots, (-1, 0, 0))
             if attempt >= 0:
-                boxes = np.vstack([boxes, (x, y, w, h)])
+                boxes.append((x, y, w, h))
             rows.append((name, s, x, y, attempt))
         return rows
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group, name = group.sort_values("slot"), int(group["image"].iloc[0])
-        for turn in range(rounds):
+    def placed(name: int, group: list[tuple]) -> list[tuple]:
+        # With an object of no allowed area every round fails, and the last one is the result.
+        rows = []
+        for turn in range(rounds) if all(fits(w, h) for _, w, h, *_ in group) else range(rounds - 1, rounds):
             rows = layout(name, group, seed if turn == 0 else f"{seed}|{turn}")
             if all(r[-1] >= 0 for r in rows):
                 break
-        return pd.DataFrame(rows, columns=["image", "slot", "x", "y", "attempt"])
+        return rows
+
+    def objects_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), *[pa.int32()] * 4]
+        names = ["image", "slot", "x", "y", "attempt"]
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+        out = []
+        for name, group in groupby(objects_of(batches), key=lambda r: r[0]):
+            out += placed(int(name), [r[1:] for r in group])
+            if len(out) >= 10_000:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
 
     own = objects.select(F.col(image).cast("long").alias("image"), F.col(slot).cast("int").alias("slot"), *[F.col(c).cast("long").alias(c) for c in ("w", "h", "cx", "cy")])
-    return own.groupBy("image").applyInPandas(run, "image long, slot int, x int, y int, attempt int")
+    tasks = max(1, int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return own.repartition(tasks, "image").sortWithinPartitions("image", "slot").mapInArrow(run, "image long, slot int, x int, y int, attempt int")

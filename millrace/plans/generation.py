@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_unit
 from ..functions.numbers import piecewise
 from ..operators import assets, labels, schedule
+from ..session import shared_folder
 
 #: The whole set is given up beyond this many layouts of an image (fixed value).
 ROUNDS = 30
@@ -19,9 +20,16 @@ def generate(sizes: DataFrame, classes: DataFrame, bank: DataFrame, points: list
     sizes: combo (a number), size; classes: product_id, category_id, class_index; bank: asset_id, product_id, aspect. Products
     are the least used ones, each deals its assets in turn, sides are drawn from the points of an inverse distribution, and an
     image is laid out up to `rounds` times. A combination that finds no layout has no image; images are not renumbered for it.
+    The products, the objects and their places are written to the shared folder, so that later steps do not draw them again.
     """
-    c = F.col
+    c, folder = F.col, shared_folder(sizes.sparkSession)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     chosen = schedule.balanced_schedule(sizes, "combo", "size", classes, "product_id").withColumnRenamed("product", "product_id")
+    chosen = stored(chosen, "products")
     dealt = schedule.round_robin(chosen, "product_id", ["combo", "slot"], bank.select("product_id", "asset_id"), "asset_id", seed)
     shapes = bank.select(c("asset_id").alias("asset"), c("product_id").alias("__p"), "aspect")
     dealt = dealt.withColumnRenamed("asset", "__a").join(shapes, (c("__a") == c("asset")) & (c("product_id") == c("__p"))).drop("__a", "__p")
@@ -30,9 +38,11 @@ def generate(sizes: DataFrame, classes: DataFrame, bank: DataFrame, points: list
     sized = dealt.withColumn("w", F.bround(side * root, 0).cast("long")).withColumn("h", F.bround(side / root, 0).cast("long"))
     sized = sized.join(sizes.select("combo", c("size").cast("int").alias("size")), "combo")
     cx, cy = assets.centre(c("combo"), c("size"), c("slot"), width, height, seed)
-    placed = assets.place_objects(sized.withColumn("cx", cx).withColumn("cy", cy), "combo", "slot", width, height, seed, rounds=rounds).withColumnRenamed("image", "combo")
-    failed = placed.where("attempt < 0").select("combo").distinct()
-    kept = placed.join(failed, "combo", "left_anti").join(sized.drop("cx", "cy"), ["combo", "slot"]).join(classes, "product_id")
+    sized = stored(sized.withColumn("cx", cx).withColumn("cy", cy), "objects")
+    placed = assets.place_objects(sized, "combo", "slot", width, height, seed, rounds=rounds).withColumnRenamed("image", "combo")
+    placed = stored(placed.withColumn("__least", F.min("attempt").over(Window.partitionBy("combo"))), "places")
+    failed = placed.where("__least < 0").select("combo").distinct()
+    kept = placed.where("__least >= 0").drop("__least").join(sized.drop("cx", "cy"), ["combo", "slot"]).join(classes, "product_id")
     numbered = labels.running_ids(kept, "combo", "slot")
     annotations = numbered.select(
         c("annotation_id").alias("id"), c("combo").alias("image_id"), (c("slot") + 1).alias("pos"), "category_id", "class_index", "product_id", "x", "y", "w", "h", (c("w") * c("h")).alias("area"), c("asset").alias("source_asset_id")

@@ -112,6 +112,12 @@ def test_generated_set(spark):
     assert max(counts) - min(counts) <= len(combos) - len(per) + 1
 
 
+def test_generated_set_is_drawn_once(spark):
+    """The annotations read the places that were stored: neither numbering nor failures lay the images out again."""
+    plan = reporting.generated_annotations(spark, SF)._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "InPandas" not in plan
+
+
 def test_no_layout_fails(spark):
     sizes = spark.createDataFrame([(1, 2), (2, 2)], "combo long, size int")
     classes = spark.createDataFrame([(0, 10, 0), (1, 11, 1)], "product_id int, category_id int, class_index int")
