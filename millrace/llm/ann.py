@@ -1,18 +1,23 @@
 """Approximate nearest neighbours by collision counting.
 
-Every vector is projected on PROJECTIONS random lines; the index of a shard is one sorted array per line. A query
-stands at its own projection on each line, and windows centred there grow with the search radius (virtual
-rehashing), each step adding only the new ends. A vector inside the windows of enough lines is verified with its exact inner
-product. The search ends at the first radius within which `k` verified vectors lie: nearer vectors would have
-collided often enough with high probability. Nothing else bounds the candidates.
-
-Largest inner product is nearest distance after scaling all vectors by the largest norm and completing them
-to unit length with one more coordinate.
+Every vector is projected on LINES random lines; the index of a shard is one sorted array per line. Largest inner product is
+nearest distance after scaling all vectors by the largest norm and completing them to unit length with one more coordinate;
+the similarity of two vectors is then their inner product.
+
+A query counts on the CHOSEN lines where it stands farthest from 0. Where it stands at z, a vector of similarity s is at
+s * z, with deviation sqrt(1 - s**2), and one that has nothing to do with the query at 0: the outer parts of these lines hold
+few vectors but the near ones. The window of s runs from the line's end to a little beyond s * z; as s falls (STEPS) it grows
+(virtual rehashing), each step adding only the new part. A vector inside the windows of enough lines is verified with its
+exact inner product. The search ends at the first s that enough verified vectors reach: nearer vectors would have collided
+often enough with high probability. The last window is the whole line, which verifies what is left. Nothing else bounds the
+candidates. A search begins at the step at which few of SAMPLE of the shard's own vectors have ended, so most take two or three.
 
 Rows are dealt to shards by a hash of the identifier. A shard's rows come first in its task's stream, its arrays are
 built once, and the queries stream past them in batches, so a task holds a shard and a batch whatever the number of
-queries; the shards' lists are merged. Equal vectors of a shard are indexed once, with as many of their least ids as an
-answer can hold. Rows of other copies than these are not read again: base rows are shuffled once, queries once a shard.
+queries; the shards' lists are merged. Of the k nearest a shard holds its share by chance, so it looks no farther than for the
+number that it exceeds once in a thousand times; all that it verifies counts. Equal vectors of a shard are indexed once, with
+as many of their least ids as an answer can hold. Rows of other copies than these are not read again: base rows are shuffled
+once, queries once a shard.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; a vector shorter than the longest
 counts as filled up with zeros, which leaves every inner product as it is. Null ids take no part. Ties go to the smaller
@@ -24,6 +29,7 @@ tables give empty results. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb, erfc, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,95 +37,142 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import concurrency
-
-PROJECTIONS = 64
-#: Half the window's width, in radii, and the standard deviations by which the threshold lies below the expected collisions.
-HALF_WIDTH, SLACK = 0.9, 1.0
-FIRST_RADIUS, GROWTH = 0.45, 1.15
+from .vec import ragged
+
+LINES, CHOSEN = 1024, 64
+#: Similarities of the windows; the last one, the whole line, follows.
+STEPS = (0.9, 0.8, 0.7, 0.65, 0.6, 0.55, *(x / 1000 for x in range(525, 0, -25)))
+#: How far beyond the expected place a window begins, in deviations and in parts of the way to the query's own place, at most;
+#: and the standard deviations by which the threshold lies below the expected collisions.
+BEYOND, WAY, SLACK = 1.0, 0.7, 1.5
+#: Cells of a line in a unit, and of half a line: windows begin at a cell.
+FINE, HALF = 64, 64 * 8
+#: Own vectors of a shard that are searched for the first step, and the part of them that have ended by it.
+SAMPLE, EARLY = 64, 0.25
 #: Rows of a shard, at most, and at least where there are fewer than tasks; queries searched at once.
-SHARD, SMALL_SHARD, QUERIES = 1 << 16, 1 << 13, 64
+SHARD, SMALL_SHARD, QUERIES = 1 << 16, 1 << 14, 64
 
 
-def threshold() -> int:
-    """Collisions that a vector at the search radius exceeds with high probability."""
-    from math import erf, sqrt
+def share(k: int, shards: int) -> int:
+    """How many of k rows dealt at random a shard exceeds less than once in a thousand times."""
+    p, left = 1 / shards, 1.0
+    for j in range(k):
+        left -= comb(k, j) * p**j * (1 - p) ** (k - j)
+        if left <= 1e-3:
+            return max(1, j)
+    return k
 
-    p = erf(HALF_WIDTH / sqrt(2))
-    return int(PROJECTIONS * p - SLACK * sqrt(PROJECTIONS * p * (1 - p)))
+
+def cells(places: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(places * FINE) + HALF, 0, 2 * HALF - 1).astype(np.uint16)
 
 
 class Shard:
     """Sorted projection arrays of some vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, k: int, sought: int | None = None):
+        vectors = np.ascontiguousarray(vectors)
         rows = vectors.view([("", vectors.dtype)] * vectors.shape[1]).ravel()
         _, first, same = np.unique(rows, return_index=True, return_inverse=True)
         self.vectors = vectors[first].astype(np.float64)
-        by = np.argsort(same, kind="stable")
-        cuts = np.searchsorted(same[by], np.arange(len(first) + 1))
-        self.ids = [np.unique(ids[by[a:b]])[: k + 1] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        n, by = len(first), np.lexsort((ids, same))
+        same, ids = same[by], ids[by]
+        kept = np.append(True, (np.diff(same) != 0) | (np.diff(ids) != 0))
+        same, ids = same[kept], ids[kept]
+        kept = np.arange(len(same)) - np.searchsorted(same, same) <= k
+        self.ids, self.cuts = ids[kept], np.searchsorted(same[kept], np.arange(n + 1))
+        self.plain = len(np.unique(self.ids)) == n == len(self.ids)
         unit = self.vectors / largest
-        rest = np.sqrt(np.maximum(0, 1 - (unit**2).sum(axis=1)))
-        self.lines = np.random.Generator(np.random.PCG64(7)).standard_normal((PROJECTIONS, vectors.shape[1] + 1))
-        places = self.lines @ np.column_stack([unit, rest]).T
-        self.order = np.argsort(places, axis=1)
-        self.places = np.take_along_axis(places, self.order, axis=1)
-        self.k, self.need, self.largest = k, threshold(), largest
-
-    def windows(self, queries: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """For each line and query: where its window of the radius begins and ends."""
-        at = self.lines[:, :-1] @ queries.T
-        half = HALF_WIDTH * radius
-        lo = np.array([np.searchsorted(p, x - half) for p, x in zip(self.places, at, strict=True)])
-        hi = np.array([np.searchsorted(p, x + half, side="right") for p, x in zip(self.places, at, strict=True)])
-        return lo, hi
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray) -> list[tuple[int, int, float]]:
+        whole = np.column_stack([unit, np.sqrt(np.maximum(0, 1 - (unit**2).sum(axis=1)))]).astype(np.float32).T
+        self.lines = np.random.Generator(np.random.PCG64(7)).standard_normal((LINES, len(whole))).astype(np.float32)
+        self.order, self.before = [], np.zeros((LINES, 2 * HALF + 1), np.int64)
+        for i in range(0, LINES, 32):
+            for line, at in enumerate(cells(self.lines[i : i + 32] @ whole), i):
+                self.order.append(np.argsort(at, kind="stable").astype(np.uint16 if n <= 1 << 16 else np.int32))
+                self.before[line, 1:] = np.cumsum(np.bincount(at, minlength=2 * HALF))
+        self.k, self.sought, self.largest = k, sought or k, largest
+        sample = self.vectors[:: max(1, n // SAMPLE)][:SAMPLE]
+        self.begin = int(np.quantile([end for end, _, _ in self._walk(sample, 0)], EARLY, method="lower"))
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query ids, ids and scores of the queries' lists."""
         queries = queries.astype(np.float64)
-        unit = queries / np.sqrt((queries**2).sum(axis=1))[:, None]
-        n, left = len(self.vectors), np.arange(len(queries))
-        # Counts of a block of queries are kept between radii.
-        counts = np.zeros((len(queries), n), np.int16)
-        done = np.zeros((len(queries), n), bool)
-        scores = np.full((len(queries), n), -np.inf)
-        lo, hi = self.windows(unit, 0)
-        hi = lo.copy()
-        radius = FIRST_RADIUS
-        while len(left):
-            new_lo, new_hi = self.windows(unit[left], radius)
+        found = [self._best(own, q, near, scores) for own, q, (_, near, scores) in zip(query_ids, queries, self._walk(queries, self.begin), strict=True)]
+        return np.repeat(query_ids, [len(x) for x, _ in found]), np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+    def _walk(self, queries: np.ndarray, begin: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query: the step at which its search ends, the vectors that it verified and their inner products."""
+        n, norms = len(self.vectors), np.sqrt((queries**2).sum(axis=1))
+        at = (queries / norms[:, None]).astype(np.float32) @ self.lines[:, :-1].T
+        chosen = np.argpartition(-np.abs(at), CHOSEN - 1, axis=1)[:, :CHOSEN]
+        at = np.take_along_axis(at, chosen, axis=1)
+        right, at = at > 0, np.abs(at)
+        # Counts of a block of queries are kept between steps; the highest bit marks verified vectors.
+        counts = np.zeros((len(queries), n), np.uint8)
+        edge = np.where(right, n, 0)
+        found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in queries]
+        ends, left = np.full(len(queries), len(STEPS)), np.arange(len(queries))
+        for step in range(begin, len(STEPS) + 1):
+            lines, outer = chosen[left], edge[left]
+            need, inner = self._windows(step, lines, right[left], at[left])
+            lo, hi, edge[left] = np.minimum(inner, outer).tolist(), np.maximum(inner, outer).tolist(), inner
             stay = []
-            for i, q in enumerate(left):
-                ends = [o[a:b] for o, a, b in zip(self.order, new_lo[:, i], lo[:, q], strict=True)]
-                ends += [o[a:b] for o, a, b in zip(self.order, hi[:, q], new_hi[:, i], strict=True)]
-                counts[q] += np.bincount(np.concatenate(ends), minlength=n).astype(np.int16)
-                lo[:, q], hi[:, q] = new_lo[:, i], new_hi[:, i]
-                fresh = np.flatnonzero((counts[q] >= min(self.need, PROJECTIONS)) & ~done[q])
-                done[q, fresh] = True
-                scores[q, fresh] = self.vectors[fresh] @ queries[q]
-                if not self._near(scores[q], queries[q], radius) and not done[q].all():
+            for i, q in enumerate(left.tolist()):
+                parts = [self.order[line][a:b] for line, a, b in zip(lines[i].tolist(), lo[i], hi[i], strict=True) if a < b]
+                if parts:
+                    counts[q] += np.bincount(np.concatenate(parts), minlength=n).astype(np.uint8)
+                    fresh = np.flatnonzero((counts[q] >= need[i]) & (counts[q] < 128))
+                    counts[q, fresh] |= 128
+                    found[q].append((fresh, self.vectors[fresh] @ queries[q]))
+                if step < len(STEPS) and not self._enough(found[q], STEPS[step] * self.largest * norms[q]):
                     stay.append(q)
+                else:
+                    ends[q] = step
             left = np.array(stay, np.int64)
-            radius *= GROWTH
-        return [x for q in range(len(queries)) for x in self._best(int(query_ids[q]), scores[q])]
-
-    def _near(self, scores: np.ndarray, query: np.ndarray, radius: float) -> bool:
-        """Do k candidates lie within the radius? Distance**2 = 2 - 2 * inner product of the unit vectors."""
-        limit = (1 - radius**2 / 2) * self.largest * np.sqrt((query**2).sum())
-        near = np.flatnonzero(scores >= limit)
-        return len(near) > 0 and sum(min(len(self.ids[j]), self.k + 1) for j in near[: self.k + 1]) - 1 >= self.k
-
-    def _best(self, own: int, scores: np.ndarray) -> list[tuple[int, int, float]]:
-        known = np.flatnonzero(scores > -np.inf)
-        if len(known) > self.k + 1:
-            cut = np.partition(scores[known], len(known) - self.k - 1)[len(known) - self.k - 1]
-            known = known[scores[known] >= cut]
-        found = [(-scores[j], int(i)) for j in known for i in self.ids[j] if i != own]
-        return [(own, i, float(-s)) for s, i in sorted(found)[: self.k]]
-
-
-def _search(k: int, size: int, largest: float):
+            if not len(left):
+                break
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        return [(int(end), *(np.concatenate(x) for x in zip(*(f or [none]), strict=True))) for end, f in zip(ends, found, strict=True)]
+
+    def _windows(self, step: int, lines: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The collisions that a vector of the step's similarity exceeds with high probability, by query, and where the window's inner end is in the lines' order."""
+        if step == len(STEPS):
+            return np.ones(len(at)), np.where(right, 0, len(self.vectors))
+        s = STEPS[step]
+        beyond = np.minimum(BEYOND, WAY * at.min(axis=1) * sqrt((1 - s) / (1 + s)))
+        p = np.array([erfc(x / sqrt(2)) / 2 for x in beyond])
+        cell = cells(s * at + beyond[:, None] * sqrt(1 - s * s)).astype(np.int64)
+        return (CHOSEN * p - SLACK * np.sqrt(CHOSEN * p * (1 - p))).astype(np.int64), self.before[lines, np.where(right, cell, 2 * HALF - cell)]
+
+    def _of(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some vectors, and how many each has."""
+        sizes = self.cuts[vectors + 1] - self.cuts[vectors]
+        return self.ids[ragged(self.cuts[vectors], sizes)], sizes
+
+    def _enough(self, found: list[tuple[np.ndarray, np.ndarray]], limit: float) -> bool:
+        """Do as many ids as are sought, besides the query's own, reach the limit?"""
+        if self.plain:
+            return sum(np.count_nonzero(scores >= limit) for _, scores in found) > self.sought
+        near = [vectors[scores >= limit] for vectors, scores in found]
+        return bool(near) and len(np.unique(self._of(np.concatenate(near))[0])) > self.sought
+
+    def _best(self, own: int, query: np.ndarray, near: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.plain and len(near) > self.k + 1:
+            # Other products of the same vectors may differ in the last bits.
+            cut = np.partition(scores, len(scores) - self.k - 1)[len(scores) - self.k - 1]
+            near = near[scores >= cut - 1e-12 * abs(cut)]
+        # Row by row, so that equal vectors of different shards have equal scores.
+        scores = (self.vectors[near] * query).sum(axis=1)
+        ids, sizes = self._of(near)
+        scores = np.repeat(scores, sizes)[ids != own]
+        ids = ids[ids != own]
+        order = np.lexsort((ids, -scores))
+        ids, scores = ids[order], scores[order]
+        first = np.sort(np.unique(ids, return_index=True)[1])[: self.k]
+        return ids[first], scores[first]
+
+
+def _search(k: int, size: int, largest: float, sought: int):
     """Of rows (shard, asked, vec_id, embedding) sorted by shard, base rows before queries: every query's list from the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,12 +190,10 @@ def _search(k: int, size: int, largest: float):
                     held.append((ids, vectors))
                     continue
                 if shard is None and held:
-                    shard, held = Shard(*(np.concatenate(x) for x in zip(*held, strict=True)), largest, k), []
+                    shard, held = Shard(*(np.concatenate(x) for x in zip(*held, strict=True)), largest, k, sought), []
                 for i in range(0, len(ids) if shard else 0, QUERIES):
-                    rows = shard.search(ids[i : i + QUERIES], vectors[i : i + QUERIES])
-                    cols = list(zip(*rows, strict=True)) or [[], [], []]
-                    kinds = (pa.int64(), pa.int64(), pa.float64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["query_id", "vec_id", "score"])
+                    found = shard.search(ids[i : i + QUERIES], vectors[i : i + QUERIES])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -173,7 +224,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     base = own.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("asked"), "vec_id", "embedding")
     queries = own.where("asked").select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("asked"), "vec_id", "embedding")
     streamed = base.union(queries).repartition(max(shards, tasks), "shard").sortWithinPartitions("shard", "asked")
-    found = streamed.mapInArrow(_search(k, size or 0, largest or 1.0), "query_id long, vec_id long, score double")
+    found = streamed.mapInArrow(_search(k, size or 0, largest or 1.0, share(k, shards)), "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -599,6 +599,38 @@ def test_vectors_of_other_lengths_and_repeated_ids(spark):
     assert ann.nearest(df, F.lit(None).cast("boolean")).count() == 0
 
 
+def test_near_windows_hold_few_vectors(monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(5))
+    x = rng.standard_normal((4000, 64))
+    x = (x / np.sqrt((x**2).sum(axis=1))[:, None]).astype(np.float32)
+    shard, read, count = ann.Shard(np.arange(4000), x, 1.0, 20), [], np.bincount
+    monkeypatch.setattr(ann.np, "bincount", lambda a, **kw: read.append(len(a)) or count(a, **kw))
+    found = shard.search(np.arange(0, 4000, 200), x[::200])
+    # Index entries read for a query, for each vector.
+    assert sum(read) / 20 / 4000 < 12
+    assert len(found[0]) == 400
+
+
+def test_nearest_of_many_shards_and_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD", 300)
+    rng = np.random.Generator(np.random.PCG64(6))
+    x = np.vstack([rng.standard_normal((2000, 16)), np.eye(16)[:1] * rng.uniform(5, 6, (60, 1))])
+    ids = np.append(np.arange(2000), np.full(60, 7))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect():
+        got[r.query_id].append(r.vec_id)
+    hits = 0
+    for q in range(0, 2000, 20):
+        best = dict(zip(ids.tolist(), [-np.inf] * len(ids), strict=True))
+        for i, s in zip(ids.tolist(), (x @ x[q]).tolist(), strict=True):
+            best[i] = max(best[i], s)
+        hits += len(set(got[q]) & set(sorted((i for i in best if i != q), key=lambda i: (-best[i], i))[:10]))
+        assert len(set(got[q])) == len(got[q]) == 10
+    assert hits / 1000 >= 0.9
+    assert ann.share(20, 1) == 20 and 20 / 7 < ann.share(20, 7) < 20 and ann.share(1, 500) == 1
+
+
 def test_clashing_names(spark, docs):
     names = ["__uid", "__key", "__none", "__nth", "__digest", "__source", "__rate", "__copies", "__copy", "__order", "__cdf", "__score", "__LANG_PRED", "__text", "uid", "n", "text_sha256", "key", "part", "upto", "rate", "shard", "block"]
     odd = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)], F.col("doc_id").alias("an.id"))
