@@ -611,8 +611,9 @@ def test_near_windows_hold_few_vectors(monkeypatch):
     assert len(found[0]) == 400
 
 
-def test_nearest_of_many_shards_and_of_one_id(spark, monkeypatch):
-    monkeypatch.setattr(ann, "SHARD", 300)
+@pytest.mark.parametrize("rows", [300, 1 << 16])
+def test_nearest_of_many_shards_and_of_one_id(spark, monkeypatch, rows):
+    monkeypatch.setattr(ann, "SHARD", rows)
     rng = np.random.Generator(np.random.PCG64(6))
     x = np.vstack([rng.standard_normal((2000, 16)), np.eye(16)[:1] * rng.uniform(5, 6, (60, 1))])
     ids = np.append(np.arange(2000), np.full(60, 7))
